@@ -594,8 +594,14 @@ def unnest_results(spark, sf):
     return PG.read_pages(spark, path, ["id"]).groupBy("page").agg(F.count(F.lit(1)).alias("records"))
 
 
+# A run that does not report every school lands shorter pages, so a
+# record's position is its index among the records present on its page.
+_LANDED_POS = ", ".join(RAW_COLUMNS) + (", page, CAST(row_number() OVER (PARTITION BY page ORDER BY pos) - 1"
+                                        " AS BIGINT) AS pos")
+
+
 @query("accumulate_pages", "WITH e AS (" + S.school_raw_sql(**E_WIN) + "), l AS (" + S.school_raw_sql(**L_WIN)
-       + ") SELECT 'earlier' AS run, * FROM e UNION ALL SELECT 'later' AS run, * FROM l")
+       + f") SELECT 'earlier' AS run, {_LANDED_POS} FROM e UNION ALL SELECT 'later' AS run, {_LANDED_POS} FROM l")
 def accumulate_pages(spark, sf):
     """Two loads landed under one root (``run=...``), read back as one scan."""
     root = scratch_path(spark, "landing")
