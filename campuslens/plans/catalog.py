@@ -189,12 +189,12 @@ def _decode_direct(name, code_col, out_col, table, default, cast_int=False):
     if cast_int:
         expr = f"CAST({expr} AS INTEGER)"
     sql = f"WITH school_raw AS ({S.school_raw_sql()}) SELECT school_id, {code_col}, {expr} AS {out_col} FROM school_raw"
-    column = codes.lookup(F.col(code_col), table, default)
-    if cast_int:
-        column = column.cast("int")
 
     @query(name, sql)
     def fn(spark, sf):
+        column = codes.lookup(F.col(code_col), table, default)
+        if cast_int:
+            column = column.cast("int")
         return school_raw(spark, sf).select("school_id", code_col, column.alias(out_col))
     return fn
 
@@ -315,7 +315,7 @@ def dim_bootstrap(spark, sf):
         for _ in range(2):  # idempotent: the second statement is a no-op
             spark.sql(f"CREATE TABLE IF NOT EXISTS {names[dim]} ({id_col} INT, {value} VARCHAR(255))"
                       f" USING parquet LOCATION '{root}/{dim}'")
-    first = L.top(spark, sf, "earlier").checkpoint()
+    first = L.stage(L.top(spark, sf, "earlier"))
     for dim, (value, id_col, _) in (("dim_program", L.PROGRAM), ("dim_program_type", L.PROGRAM_TYPE)):
         stored = spark.table(names[dim])
         D.next_ids(stored, first, value, id_col).select(id_col, value).write.insertInto(names[dim])

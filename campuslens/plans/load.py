@@ -12,7 +12,6 @@ a partial aggregate over a rank-key struct, never by a global sort.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from campuslens.functions import codes
 from campuslens.functions.joins import attach_id
@@ -27,6 +26,16 @@ PROGRAM = ("program_name", "program_id", codes.label_bound(codes.PROGRAM_NAME))
 PROGRAM_TYPE = ("program_type", "program_type_id", codes.label_bound(codes.PROGRAM_TYPE))
 
 
+def stage(df: DataFrame) -> DataFrame:
+    """Materialise a reused intermediate in the shared checkpoint folder.
+
+    A reliable checkpoint computes the frame once, cuts its lineage (later
+    plans read the files instead of re-deriving them, and stay small for
+    the optimizer), and survives the loss of the executors that built it.
+    """
+    return df.checkpoint(eager=True)
+
+
 def run_window(run: str | None) -> dict:
     if run is None:
         return {}
@@ -70,7 +79,8 @@ def fact(top_df: DataFrame) -> DataFrame:
 
 def full_load(spark: SparkSession, sf_dir: str, run: str | None = None) -> DataFrame:
     """``university`` rows for every school of a run, no cut."""
-    records = school(spark, sf_dir, run).withColumn("_rank_key", rank_key())
+    # Staged once: the dimensions and the fact rows both read it.
+    records = stage(school(spark, sf_dir, run).withColumn("_rank_key", rank_key()))
     filled = fill_missing(records)
     dp, dt = frame_dims(filled, "_rank_key")
     return project_fact(with_ids(filled, dp, dt))
@@ -98,10 +108,10 @@ def load(stored_fact: DataFrame, stored_program: DataFrame, stored_type: DataFra
 
 def two_run_state(spark: SparkSession, sf_dir: str, k: int = TOP_K):
     """Stored state after the earlier run, and the later run's top-k."""
-    first = top(spark, sf_dir, "earlier", k)
+    first = stage(top(spark, sf_dir, "earlier", k))
     dp, dt = frame_dims(first)
     stored = project_fact(with_ids(first, dp, dt))
-    return stored, dp, dt, top(spark, sf_dir, "later", k)
+    return stored, dp, dt, stage(top(spark, sf_dir, "later", k))
 
 
 def load_university(spark: SparkSession, sf_dir: str, k: int = TOP_K) -> DataFrame:
@@ -110,6 +120,3 @@ def load_university(spark: SparkSession, sf_dir: str, k: int = TOP_K) -> DataFra
     result, _, _ = load(stored, dp, dt, later)
     return result
 
-
-def keyed_columns(df: DataFrame, cols: list[str]) -> DataFrame:
-    return df.select("school_id", *[F.col(c) for c in cols])

@@ -64,6 +64,7 @@ METRIC_COLUMNS = [plain for _, plain, t in API_FIELDS if isinstance(t, T.DoubleT
 
 RECORD_SCHEMA = T.StructType([T.StructField(key, dtype, True) for key, _, dtype in API_FIELDS])
 PAGE_SCHEMA = T.StructType([T.StructField("results", T.ArrayType(RECORD_SCHEMA), True)])
+PAGE_NUMBER = T.StructField("page", T.LongType(), True)
 
 DIM_PROGRAM_SCHEMA = T.StructType([
     T.StructField("program_id", T.IntegerType(), False),
@@ -75,13 +76,18 @@ DIM_PROGRAM_TYPE_SCHEMA = T.StructType([
 ])
 
 
-def page_schema(fields: list[str] | None = None) -> T.StructType:
-    """Page schema restricted to the requested API keys (source-side projection)."""
+def page_schema(fields: list[str] | None = None, with_page: bool = False) -> T.StructType:
+    """Page schema restricted to the requested API keys (source-side projection).
+
+    ``with_page`` adds the page number a landed line carries next to the body.
+    """
     if fields is None:
-        return PAGE_SCHEMA
-    wanted = set(fields)
-    unknown = wanted - {key for key, _, _ in API_FIELDS}
-    if unknown:
-        raise ValueError(f"unknown API fields: {sorted(unknown)}")
-    record = T.StructType([T.StructField(k, t, True) for k, _, t in API_FIELDS if k in wanted])
-    return T.StructType([T.StructField("results", T.ArrayType(record), True)])
+        results = PAGE_SCHEMA["results"]
+    else:
+        wanted = set(fields)
+        unknown = wanted - {key for key, _, _ in API_FIELDS}
+        if unknown:
+            raise ValueError(f"unknown API fields: {sorted(unknown)}")
+        record = T.StructType([T.StructField(k, t, True) for k, _, t in API_FIELDS if k in wanted])
+        results = T.StructField("results", T.ArrayType(record), True)
+    return T.StructType(([PAGE_NUMBER] if with_page else []) + [results])

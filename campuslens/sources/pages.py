@@ -1,18 +1,20 @@
-"""Landed API pages: ``{"results": [record, ...]}`` JSON, one file per page.
+"""Landed API pages: one JSON line per page response.
+
+Each line is ``{"page": N, "results": [record, ...]}``: the response body
+plus the page number it was requested with. Many pages share a file, which
+keeps the file count proportional to data volume rather than to page count
+(a file per 100-record page would be millions of tiny objects at scale).
 
 Reading: an explicit schema (only the listed API keys are parsed, the rest
 of each record is skipped), ``FAILFAST`` so a corrupt page stops the job
 instead of silently truncating it, and ``posexplode`` of ``results``. The
 explode is not outer, so a page with an empty or missing ``results`` array
-contributes no rows. The page number comes from the landing layout
-(``.../page=N/``) through partition discovery; the position from
-``posexplode``. The scan is file-parallel: pages are read concurrently, not
-one after another.
-
-Landing (used to materialise test inputs and by the incremental job's
-producers) groups records by page. A page holds at most ``PAGE_SIZE``
-records by construction, so collecting one page's records into an array is
-bounded.
+contributes no rows. The scan is split-parallel: pages are read
+concurrently, not one after another.
+
+Landing (used to materialise test inputs) groups records by page. A page
+holds at most ``PAGE_SIZE`` records by construction, so collecting one
+page's records into an array is bounded.
 """
 
 from __future__ import annotations
@@ -39,12 +41,12 @@ def land_pages(raw: DataFrame, path: str, mode: str = "errorifexists") -> str:
              .groupBy("page")
              .agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "record"))),
                               lambda e: e["record"]).alias("results")))
-    pages.write.mode(mode).partitionBy("page").json(path)
+    pages.write.mode(mode).json(path)
     return path
 
 
 def land_empty_pages(spark: SparkSession, path: str, after_page: DataFrame) -> None:
-    """Land two pages past the last one: ``{"results": []}`` and ``{}``.
+    """Land two pages past the last one: an empty ``results`` array and none at all.
 
     ``after_page`` is a one-row frame holding the last page number; the
     empty pages are derived from it, not from a constant.
@@ -55,17 +57,17 @@ def land_empty_pages(spark: SparkSession, path: str, after_page: DataFrame) -> N
                           F.array().cast(empty).alias("results"))
               .unionByName(last.select((F.col("page") + 2).alias("page"),
                                        F.lit(None).cast(empty).alias("results"))))
-    blanks.write.mode("append").partitionBy("page").json(path)
+    blanks.write.mode("append").json(path)
 
 
 def read_pages(spark: SparkSession, path: str, fields: list[str] | None = None) -> DataFrame:
     """Unnested page records: ``page``, ``pos`` and the requested dotted keys.
 
-    ``path`` is a landing root. Partition levels above ``page`` (for
-    instance ``run=...``, when several loads land under one root) are kept
-    as leading columns, so many landings are one file-parallel scan.
+    ``path`` is a landing root. Partition levels (for instance ``run=...``,
+    when several loads land under one root) are kept as leading columns, so
+    many landings are one split-parallel scan.
     """
-    pages = spark.read.schema(page_schema(fields)).option("mode", "FAILFAST").json(path)
+    pages = spark.read.schema(page_schema(fields, with_page=True)).option("mode", "FAILFAST").json(path)
     levels = [c for c in pages.columns if c not in ("results", "page")]
     return (pages.select(*levels, F.col("page").cast("long").alias("page"),
                          F.posexplode("results").alias("pos", "record"))

@@ -22,16 +22,16 @@ from campuslens.operators.decode import decode, flatten_record
 from campuslens.operators.rank import TOP_K
 from campuslens.plans import load as L
 from campuslens.schemas import (DIM_PROGRAM_SCHEMA, DIM_PROGRAM_TYPE_SCHEMA,
-                                PAGE_SCHEMA)
+                                page_schema)
 
 TABLES = ("university", "dim_program", "dim_program_type")
 COMMITS = "_commits"
 
 
 def landing_schema(levels: list[str]) -> T.StructType:
-    """Page schema plus the partition levels of the landing layout."""
-    fields = list(PAGE_SCHEMA.fields) + [T.StructField(c, T.StringType(), True) for c in levels]
-    fields.append(T.StructField("page", T.LongType(), True))
+    """Landed page lines plus the partition levels of the landing layout."""
+    fields = list(page_schema(with_page=True).fields)
+    fields += [T.StructField(c, T.StringType(), True) for c in levels]
     return T.StructType(fields)
 
 
@@ -54,8 +54,8 @@ class VersionedTables:
         # The commit log has one row per batch: bounded by the number of runs.
         return [] if log is None else sorted(r.batch for r in log.collect())
 
-    def current(self, name: str) -> DataFrame:
-        done = self.committed()
+    def current(self, name: str, done: list[int] | None = None) -> DataFrame:
+        done = self.committed() if done is None else done
         if not done:
             return self.spark.createDataFrame([], self.schemas[name])
         return self.spark.read.schema(self.schemas[name]).parquet(f"{self.root}/{name}/v={done[-1]}")
@@ -68,7 +68,8 @@ class VersionedTables:
 
 
 def process_batch(tables: VersionedTables, batch: DataFrame, batch_id: int, k: int = TOP_K) -> None:
-    if batch_id in tables.committed():
+    done = tables.committed()
+    if batch_id in done:
         return
     records = (batch.select(F.col("page").cast("long").alias("page"),
                             F.posexplode("results").alias("pos", "record"))
@@ -76,8 +77,7 @@ def process_batch(tables: VersionedTables, batch: DataFrame, batch_id: int, k: i
     # The top-k (at most k rows) feeds three writes; a reliable checkpoint
     # computes it once and survives the loss of an executor.
     top_df = L.transform(decode(flatten_record(records)), k).checkpoint()
-    fact, dp, dt = L.load(tables.current("university"), tables.current("dim_program"),
-                          tables.current("dim_program_type"), top_df)
+    fact, dp, dt = L.load(*[tables.current(t, done) for t in TABLES], top_df)
     tables.commit(batch_id, {"dim_program": dp, "dim_program_type": dt, "university": fact})
 
 
