@@ -620,9 +620,8 @@ def incremental_upsert(spark, sf):
 
     root = scratch_path(spark, "incremental")
     landing, state, ckpt = f"{root}/landing", f"{root}/state", f"{root}/checkpoint"
-    fact_schema = L.fact(L.top(spark, sf)).schema
     tables = None
     for run in ("earlier", "later"):
         PG.land_pages(school_raw(spark, sf, **L.run_window(run)), f"{landing}/run={run}")
-        tables = run_available(spark, landing, state, ckpt, ["run"], fact_schema)
+        tables = run_available(spark, landing, state, ckpt, ["run"])
     return tables.current("university")

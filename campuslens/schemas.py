@@ -66,6 +66,13 @@ RECORD_SCHEMA = T.StructType([T.StructField(key, dtype, True) for key, _, dtype
 PAGE_SCHEMA = T.StructType([T.StructField("results", T.ArrayType(RECORD_SCHEMA), True)])
 PAGE_NUMBER = T.StructField("page", T.LongType(), True)
 
+_FACT_TYPES = {"school_id": T.LongType(), "program_id": T.IntegerType(),
+               "program_type_id": T.IntegerType()}
+_STRING_FACT = {"name", "city", "state", "school_url", "price_calculator", "school_type"}
+FACT_SCHEMA = T.StructType([
+    T.StructField(c, _FACT_TYPES.get(c, T.StringType() if c in _STRING_FACT else T.DoubleType()), True)
+    for c in FACT_COLUMNS])
+
 DIM_PROGRAM_SCHEMA = T.StructType([
     T.StructField("program_id", T.IntegerType(), False),
     T.StructField("program_name", T.StringType(), False),

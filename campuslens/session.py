@@ -58,6 +58,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/campuslens/{name}-{uuid.uuid4().hex}"
 
 
+_READS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str):
-    """Read one of the driver's parquet tables."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read one of the driver's parquet tables.
+
+    The input tables are read-only, so a session reuses one read handle per
+    table instead of listing files and reading footers again per query.
+    """
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return _READS[key]

@@ -22,7 +22,7 @@ from campuslens.operators.decode import decode, flatten_record
 from campuslens.operators.rank import TOP_K
 from campuslens.plans import load as L
 from campuslens.schemas import (DIM_PROGRAM_SCHEMA, DIM_PROGRAM_TYPE_SCHEMA,
-                                page_schema)
+                                FACT_SCHEMA, page_schema)
 
 TABLES = ("university", "dim_program", "dim_program_type")
 COMMITS = "_commits"
@@ -38,9 +38,9 @@ def landing_schema(levels: list[str]) -> T.StructType:
 class VersionedTables:
     """Latest committed version of each table under one root folder."""
 
-    def __init__(self, spark: SparkSession, root: str, fact_schema: T.StructType):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        self.schemas = {"university": fact_schema, "dim_program": DIM_PROGRAM_SCHEMA,
+        self.schemas = {"university": FACT_SCHEMA, "dim_program": DIM_PROGRAM_SCHEMA,
                         "dim_program_type": DIM_PROGRAM_TYPE_SCHEMA}
 
     def _commits(self) -> DataFrame | None:
@@ -60,9 +60,13 @@ class VersionedTables:
             return self.spark.createDataFrame([], self.schemas[name])
         return self.spark.read.schema(self.schemas[name]).parquet(f"{self.root}/{name}/v={done[-1]}")
 
-    def commit(self, batch: int, frames: dict[str, DataFrame]) -> None:
-        for name, df in frames.items():
-            df.write.mode("overwrite").parquet(f"{self.root}/{name}/v={batch}")
+    def write(self, batch: int, name: str, df: DataFrame) -> DataFrame:
+        """Write one table's version of ``batch`` and return it read back."""
+        path = f"{self.root}/{name}/v={batch}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(self.schemas[name]).parquet(path)
+
+    def commit(self, batch: int) -> None:
         (self.spark.range(1).select(F.lit(batch).cast("long").alias("batch"))
          .write.mode("append").parquet(f"{self.root}/{COMMITS}"))
 
@@ -74,17 +78,23 @@ def process_batch(tables: VersionedTables, batch: DataFrame, batch_id: int, k: i
     records = (batch.select(F.col("page").cast("long").alias("page"),
                             F.posexplode("results").alias("pos", "record"))
                .select("page", F.col("pos").cast("long").alias("pos"), "record.*"))
-    # The top-k (at most k rows) feeds three writes; a reliable checkpoint
-    # computes it once and survives the loss of an executor.
-    top_df = L.transform(decode(flatten_record(records)), k).checkpoint()
-    fact, dp, dt = L.load(*[tables.current(t, done) for t in TABLES], top_df)
-    tables.commit(batch_id, {"dim_program": dp, "dim_program_type": dt, "university": fact})
+    # The top-k (at most k rows) feeds every later step: staged once in the
+    # shared folder, it is computed once and survives the loss of an executor.
+    top_df = L.stage(L.transform(decode(flatten_record(records)), k), "batch_top")
+    stored_fact, stored_program, stored_type = [tables.current(t, done) for t in TABLES]
+    # Dimensions first; the fact then looks its ids up in the stored versions.
+    dp, dt = L.upsert_dims(stored_program, stored_type, top_df)
+    dp = tables.write(batch_id, "dim_program", dp)
+    dt = tables.write(batch_id, "dim_program_type", dt)
+    staged = L.project_fact(L.with_ids(top_df, dp, dt, proven=False))
+    tables.write(batch_id, "university", L.upsert(stored_fact, staged, "school_id"))
+    tables.commit(batch_id)
 
 
 def run_available(spark: SparkSession, landing: str, state_root: str, checkpoint: str,
-                  levels: list[str], fact_schema: T.StructType, k: int = TOP_K) -> VersionedTables:
+                  levels: list[str], k: int = TOP_K) -> VersionedTables:
     """Process every page landed since the last run, then stop."""
-    tables = VersionedTables(spark, state_root, fact_schema)
+    tables = VersionedTables(spark, state_root)
     stream = (spark.readStream.schema(landing_schema(levels))
               .option("mode", "FAILFAST").json(landing))
     query = (stream.writeStream
