@@ -71,3 +71,23 @@ def table(spark: SparkSession, sf_dir: str, name: str):
     if key not in _READS:
         _READS[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return _READS[key]
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
+               max_partitions: int = 200_000) -> dict:
+    """Settings for a cluster run over ``input_bytes`` of input data.
+
+    The initial shuffle partition count assumes shuffles as large as the
+    input (the worst case: a join of the big tables); AQE then coalesces
+    partitions toward ``target_partition_bytes`` from the real map output
+    sizes, so over-estimating costs little and under-estimating (spill,
+    out-of-memory tasks) is avoided. Skew splitting uses the same unit.
+    """
+    partitions = int(min(max(input_bytes // target_partition_bytes, 200), max_partitions))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(2 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
