@@ -60,6 +60,14 @@ def land_empty_pages(spark: SparkSession, path: str, after_page: DataFrame) -> N
     blanks.write.mode("append").json(path)
 
 
+def unnest_pages(pages: DataFrame) -> DataFrame:
+    """One row per record of page rows (``page``, ``results``, partition levels)."""
+    levels = [c for c in pages.columns if c not in ("results", "page")]
+    return (pages.select(*levels, F.col("page").cast("long").alias("page"),
+                         F.posexplode("results").alias("pos", "record"))
+            .select(*levels, "page", F.col("pos").cast("long").alias("pos"), "record.*"))
+
+
 def read_pages(spark: SparkSession, path: str, fields: list[str] | None = None) -> DataFrame:
     """Unnested page records: ``page``, ``pos`` and the requested dotted keys.
 
@@ -67,11 +75,8 @@ def read_pages(spark: SparkSession, path: str, fields: list[str] | None = None)
     when several loads land under one root) are kept as leading columns, so
     many landings are one split-parallel scan.
     """
-    pages = spark.read.schema(page_schema(fields, with_page=True)).option("mode", "FAILFAST").json(path)
-    levels = [c for c in pages.columns if c not in ("results", "page")]
-    return (pages.select(*levels, F.col("page").cast("long").alias("page"),
-                         F.posexplode("results").alias("pos", "record"))
-            .select(*levels, "page", F.col("pos").cast("long").alias("pos"), "record.*"))
+    return unnest_pages(spark.read.schema(page_schema(fields, with_page=True))
+                        .option("mode", "FAILFAST").json(path))
 
 
 def extract(spark: SparkSession, path: str, fields: list[str] | None = None) -> DataFrame:

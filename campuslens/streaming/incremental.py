@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from campuslens.operators.decode import decode, flatten_record
 from campuslens.operators.rank import TOP_K
 from campuslens.plans import load as L
+from campuslens.sources.pages import unnest_pages
 from campuslens.schemas import (DIM_PROGRAM_SCHEMA, DIM_PROGRAM_TYPE_SCHEMA,
                                 FACT_SCHEMA, page_schema)
 
@@ -75,9 +76,7 @@ def process_batch(tables: VersionedTables, batch: DataFrame, batch_id: int, k: i
     done = tables.committed()
     if batch_id in done:
         return
-    records = (batch.select(F.col("page").cast("long").alias("page"),
-                            F.posexplode("results").alias("pos", "record"))
-               .select("page", F.col("pos").cast("long").alias("pos"), "record.*"))
+    records = unnest_pages(batch.drop("run"))
     # The top-k (at most k rows) feeds every later step: staged once in the
     # shared folder, it is computed once and survives the loss of an executor.
     top_df = L.stage(L.transform(decode(flatten_record(records)), k), "batch_top")
