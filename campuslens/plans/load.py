@@ -48,9 +48,18 @@ def run_window(run: str | None) -> dict:
     return {"since": since, "until": until, "reported_only": True}
 
 
+_DECODED: dict = {}
+
+
 def school(spark: SparkSession, sf_dir: str, run: str | None = None) -> DataFrame:
-    """Decoded 24-column records of every school (of one run's window)."""
-    return decode(school_raw(spark, sf_dir, **run_window(run)))
+    """Decoded 24-column records of every school (of one run's window).
+
+    Like ``school_raw``, the lazy plan is built once per session and run.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), run)
+    if key not in _DECODED:
+        _DECODED[key] = decode(school_raw(spark, sf_dir, **run_window(run)))
+    return _DECODED[key]
 
 
 def transform(records: DataFrame, k: int = TOP_K) -> DataFrame:

@@ -32,13 +32,27 @@ def _count_nonzero(cond):
     return F.nullif(F.count_if(cond), F.lit(0))
 
 
+_PLANS: dict = {}
+
+
 def school_raw(spark: SparkSession, sf_dir: str, since: str | None = None,
                until: str | None = None, reported_only: bool = False) -> DataFrame:
     """Raw school records (codes not yet decoded) with their page ordinals.
 
     ``since``/``until`` restrict the orders to a date window; with
     ``reported_only`` a school without orders in the window is left out.
+    The lazy plan (not its data) is built once per session and arguments:
+    DataFrames are immutable, and building this one costs thousands of
+    driver round trips.
     """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), since, until, reported_only)
+    if key not in _PLANS:
+        _PLANS[key] = _school_raw(spark, sf_dir, since, until, reported_only)
+    return _PLANS[key]
+
+
+def _school_raw(spark: SparkSession, sf_dir: str, since: str | None,
+                until: str | None, reported_only: bool) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_acctbal")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
