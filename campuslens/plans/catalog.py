@@ -19,7 +19,7 @@ from campuslens.operators import dims as D
 from campuslens.operators import fill as FL
 from campuslens.operators import rank as R
 from campuslens.operators.decode import decode, project_fact
-from campuslens.operators.upsert import check_source_unique, upsert
+from campuslens.operators.upsert import check_source_unique, latest_per_key, upsert
 from campuslens.plans import dashboard as DB
 from campuslens.plans import load as L
 from campuslens.plans import sql as S
@@ -479,6 +479,12 @@ def selectivity_band(spark, sf):
     return DB.retention_points(_university(spark, sf)).select("school_id", "admission_rate", "selectivity")
 
 
+@query("retention_points", f"{ALL_FACT} SELECT school_id, admission_rate, retention_rate,"
+                           f" {_band_sql('admission_rate')} AS selectivity FROM university")
+def retention_points(spark, sf):
+    return DB.retention_points(_university(spark, sf))
+
+
 @query("audit_zero_metrics", f"{ALL_FACT} " + " UNION ALL ".join(
     f"SELECT '{m}' AS metric, count(*) FILTER (WHERE {m} = 0) AS zeros, count(*) AS total FROM university"
     for m in DB.METRICS))
@@ -610,6 +616,20 @@ def accumulate_pages(spark, sf):
     return PG.extract(spark, root).select("run", *RAW_COLUMNS, "page", "pos")
 
 
+@query("keep_latest_school", "WITH e AS (" + S.school_raw_sql(**E_WIN) + "), l AS (" + S.school_raw_sql(**L_WIN)
+       + f"), landed AS (SELECT 'earlier' AS run, {_LANDED_POS} FROM e UNION ALL"
+       f" SELECT 'later' AS run, {_LANDED_POS} FROM l)"
+       " SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY school_id"
+       " ORDER BY run DESC, page DESC, pos DESC) AS rn FROM landed) WHERE rn = 1")
+def keep_latest_school(spark, sf):
+    """A school landed by both loads keeps its latest record (run, page, pos)."""
+    root = scratch_path(spark, "landing")
+    for run in ("earlier", "later"):
+        PG.land_pages(school_raw(spark, sf, **L.run_window(run)), f"{root}/run={run}")
+    landed = PG.extract(spark, root).select("run", *RAW_COLUMNS, "page", "pos")
+    return latest_per_key(landed, "school_id", ["run", "page", "pos"])
+
+
 # ---------------------------------------------------------------------------
 # Phase 6: incremental
 # ---------------------------------------------------------------------------

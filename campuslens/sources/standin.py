@@ -59,10 +59,13 @@ def _school_raw(spark: SparkSession, sf_dir: str, since: str | None,
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     orders = table(spark, sf_dir, "orders").select(
         "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "o_orderdate")
+    # Cutoffs take the column's own type (timestamp without time zone in the
+    # driver's files), so the window does not move with the session time zone.
+    date_type = orders.schema["o_orderdate"].dataType
     if since is not None:
-        orders = orders.where(F.col("o_orderdate") >= F.lit(since).cast("timestamp"))
+        orders = orders.where(F.col("o_orderdate") >= F.lit(since).cast(date_type))
     if until is not None:
-        orders = orders.where(F.col("o_orderdate") < F.lit(until).cast("timestamp"))
+        orders = orders.where(F.col("o_orderdate") < F.lit(until).cast(date_type))
 
     status, priority, price = F.col("o_orderstatus"), F.col("o_orderpriority"), F.col("o_totalprice")
     per_school = orders.groupBy("o_custkey").agg(
