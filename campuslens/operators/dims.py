@@ -71,14 +71,20 @@ def upsert_dim(stored: DataFrame, df: DataFrame, value_col: str, id_col: str,
 
 
 def check_unique(dim: DataFrame, value_col: str, id_col: str, name: str) -> DataFrame:
-    """One summary row: rows, distinct names and ids, and repeats of each."""
-    by_name = dim.groupBy(value_col).agg(F.count(F.lit(1)).alias("n"))
-    by_id = dim.groupBy(id_col).agg(F.count(F.lit(1)).alias("n"))
-    names = by_name.agg(F.sum("n").alias("rows"),
-                        F.count(F.lit(1)).alias("distinct_names"),
-                        F.count_if(F.col("n") > 1).alias("repeated_names"))
-    ids = by_id.agg(F.count(F.lit(1)).alias("distinct_ids"),
-                    F.count_if(F.col("n") > 1).alias("repeated_ids"))
-    # Both sides are single-row global aggregates keyed by the dimension name.
-    return (names.select(F.lit(name).alias("dimension"), "*")
-            .join(ids.select(F.lit(name).alias("dimension"), "*"), "dimension"))
+    """One summary row: rows, distinct names and ids, and repeats of each.
+
+    Per-name and per-id counts are stacked and summarised in one global
+    aggregate, so no join is needed to put the two sides in one row.
+    """
+    kind = F.col("kind")
+    per_name = dim.groupBy(value_col).agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("name").alias("kind"), "n")
+    per_id = dim.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("id").alias("kind"), "n")
+    return per_name.unionByName(per_id).agg(
+        F.lit(name).alias("dimension"),
+        F.coalesce(F.sum(F.when(kind == "name", F.col("n"))), F.lit(0)).cast("long").alias("rows"),
+        F.count_if(kind == "name").alias("distinct_names"),
+        F.count_if((kind == "name") & (F.col("n") > 1)).alias("repeated_names"),
+        F.count_if(kind == "id").alias("distinct_ids"),
+        F.count_if((kind == "id") & (F.col("n") > 1)).alias("repeated_ids"))

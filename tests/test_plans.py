@@ -57,3 +57,19 @@ def test_measures_are_partial_aggregates(spark):
     fact = L.full_load(spark, SF_SMALL)
     p = plan(DB.graduation_by_type(fact).where(F.lit(True)))
     assert "partial_avg" in p
+
+
+BANNED = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
+
+
+def test_no_query_plans_a_cross_join_or_python_udf(spark):
+    """Every registered query stays JVM-side and joins only on keys."""
+    from __spark_entry__ import queries
+
+    offenders = {}
+    for name, fn in queries().items():
+        text = plan(fn(spark, SF_SMALL))
+        found = [b for b in BANNED if b in text]
+        if found:
+            offenders[name] = found
+    assert offenders == {}
