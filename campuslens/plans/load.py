@@ -19,7 +19,7 @@ from campuslens.operators import dims as D
 from campuslens.operators.decode import decode, project_fact
 from campuslens.operators.fill import fill_missing
 from campuslens.operators.rank import TOP_K, rank_key, ranked_top_k
-from campuslens.operators.upsert import upsert  # noqa: F401  (re-exported for flows)
+from campuslens.operators.upsert import upsert
 from campuslens.session import scratch_path
 from campuslens.sources.standin import EARLIER_RUN, LATER_RUN, school_raw
 
@@ -113,19 +113,29 @@ def refresh_ids(staged: DataFrame, dim_program: DataFrame, dim_program_type: Dat
 
 
 def load(stored_fact: DataFrame, stored_program: DataFrame, stored_type: DataFrame,
-         top_df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """One load: upsert dimensions, then upsert the fact with stored ids."""
+         top_df: DataFrame, persist=None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One load: upsert the dimensions, then upsert the fact with their ids.
+
+    ``persist(df, name)``, when given, stores an upserted dimension and
+    returns it read back, so the fact takes its ids from the stored copy
+    (the incremental job writes its table versions this way). Without it
+    the dimensions stay lazy: they derive from a staged top-k of at most k
+    rows, so re-deriving them in each branch is bounded work and cheaper
+    than extra writes.
+    """
     dp, dt = upsert_dims(stored_program, stored_type, top_df)
+    if persist is not None:
+        dp, dt = persist(dp, "dim_program"), persist(dt, "dim_program_type")
     staged = project_fact(with_ids(top_df, dp, dt))
     return upsert(stored_fact, staged, "school_id"), dp, dt
 
 
 def two_run_state(spark: SparkSession, sf_dir: str, k: int = TOP_K):
     """Stored state after the earlier run, and the later run's top-k."""
-    first = stage(top(spark, sf_dir, "earlier", k))
+    first = stage(top(spark, sf_dir, "earlier", k), "top")
     dp, dt = frame_dims(first)
     stored = project_fact(with_ids(first, dp, dt))
-    return stored, dp, dt, stage(top(spark, sf_dir, "later", k))
+    return stored, dp, dt, stage(top(spark, sf_dir, "later", k), "top")
 
 
 def load_university(spark: SparkSession, sf_dir: str, k: int = TOP_K) -> DataFrame:

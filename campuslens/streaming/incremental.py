@@ -80,13 +80,11 @@ def process_batch(tables: VersionedTables, batch: DataFrame, batch_id: int, k: i
     # The top-k (at most k rows) feeds every later step: staged once in the
     # shared folder, it is computed once and survives the loss of an executor.
     top_df = L.stage(L.transform(decode(flatten_record(records)), k), "batch_top")
-    stored_fact, stored_program, stored_type = [tables.current(t, done) for t in TABLES]
-    # Dimensions first; the fact then looks its ids up in the stored versions.
-    dp, dt = L.upsert_dims(stored_program, stored_type, top_df)
-    dp = tables.write(batch_id, "dim_program", dp)
-    dt = tables.write(batch_id, "dim_program_type", dt)
-    staged = L.project_fact(L.with_ids(top_df, dp, dt, proven=False))
-    tables.write(batch_id, "university", L.upsert(stored_fact, staged, "school_id"))
+    # Dimensions are written first; the fact then takes its ids from the
+    # stored versions (the same flow as a batch load).
+    fact, _, _ = L.load(*[tables.current(t, done) for t in TABLES], top_df,
+                        persist=lambda df, name: tables.write(batch_id, name, df))
+    tables.write(batch_id, "university", fact)
     tables.commit(batch_id)
 
 
