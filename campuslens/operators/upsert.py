@@ -1,17 +1,26 @@
 """Upsert (``MERGE``) of a source frame into a target table by key.
 
-Without a merge-capable table format the merge is a full outer join on the
-key plus match markers:
-
-* a column of a matched row takes the **source** value even when it is
-  null, so markers (not ``coalesce``) choose the side;
-* source rows with a null key never match anything and are inserted as
-  they are. They bypass the join: otherwise every one of them would hash
-  to the same shuffle partition;
-* target rows without a source row are kept (no delete arm).
-
-Both sides are unique by key (checked with ``check_source_unique``), so the
-join has no hot key; the full outer join shuffles each side once on the key.
+Without a merge-capable table format the merge is expressed with joins.
+
+**Full update** (every non-key column is overwritten on a match, the usual
+case): the result is the target rows whose key is not in the source, plus
+every source row. That is one left anti join on the source *keys* and a
+union: the source rows themselves never take part in a join. When the
+source has a proven row bound (a top-k load of at most k rows) its keys
+are broadcast, so the target, which grows with every load, is never
+shuffled. Otherwise the anti join shuffles the target and the source keys
+once each.
+
+**Partial update** (some columns keep their target value on a match): a
+full outer join on the key plus match markers. Markers (not ``coalesce``)
+choose the side, because a matched row must be able to take a null from
+the source.
+
+In both forms a null key never matches: such source rows are inserted and
+such target rows kept. In the outer-join form they bypass the join, since
+otherwise every one of them would hash to the same shuffle partition. Both
+sides are expected unique by key (``check_source_unique``), so there is no
+hot key.
 """
 
 from __future__ import annotations
@@ -23,17 +32,31 @@ _S, _T = "_in_source", "_in_target"
 
 
 def upsert(target: DataFrame, source: DataFrame, key: str,
-           update_cols: list[str] | None = None) -> DataFrame:
+           update_cols: list[str] | None = None,
+           source_rows_bound: int | None = None) -> DataFrame:
     """Rows of ``target`` updated/inserted from ``source`` on ``key``.
 
     ``update_cols``: columns a match overwrites (default: every non-key
-    column). Columns not listed keep the target value on a match. Output
-    has the target's columns in the target's order.
+    column). ``source_rows_bound``: a proven upper bound on the source's
+    rows (for example k for a top-k load); its keys are then broadcast.
+    Output has the target's columns in the target's order.
     """
     columns = target.columns
-    if update_cols is None:
-        update_cols = [c for c in columns if c != key]
-    src = source.select(*columns)
+    non_key = [c for c in columns if c != key]
+    if update_cols is None or set(update_cols) >= set(non_key):
+        return _replace_by_key(target, source.select(*columns), key, source_rows_bound)
+    return _merge_columns(target, source.select(*columns), key, update_cols)
+
+
+def _replace_by_key(target: DataFrame, src: DataFrame, key: str, bound: int | None) -> DataFrame:
+    keys = src.select(key).where(F.col(key).isNotNull())
+    if bound is not None:
+        keys = F.broadcast(keys)
+    return target.join(keys, key, "left_anti").unionByName(src)
+
+
+def _merge_columns(target: DataFrame, src: DataFrame, key: str, update_cols: list[str]) -> DataFrame:
+    columns = target.columns
     keyed = src.where(F.col(key).isNotNull()).withColumn(_S, F.lit(True))
     orphan = src.where(F.col(key).isNull())
     tgt = target.withColumn(_T, F.lit(True))

@@ -83,7 +83,7 @@ def process_batch(tables: VersionedTables, batch: DataFrame, batch_id: int, k: i
     # Dimensions are written first; the fact then takes its ids from the
     # stored versions (the same flow as a batch load).
     fact, _, _ = L.load(*[tables.current(t, done) for t in TABLES], top_df,
-                        persist=lambda df, name: tables.write(batch_id, name, df))
+                        persist=lambda df, name: tables.write(batch_id, name, df), k=k)
     tables.write(batch_id, "university", fact)
     tables.commit(batch_id)
 

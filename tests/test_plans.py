@@ -1,5 +1,7 @@
 """Physical plan shapes."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from campuslens.operators.rank import top_k
@@ -44,13 +46,25 @@ def test_orders_aggregate_is_partial_before_shuffle(spark):
     assert "partial_count" in p and "partial_min" in p
 
 
-def test_upsert_is_one_full_outer_join(spark):
+def test_full_update_upsert_is_an_anti_join(spark):
     from campuslens.operators.upsert import upsert
 
     t = L.stage(L.full_load(spark, SF_SMALL, "earlier"), "t")
     s = L.stage(L.full_load(spark, SF_SMALL, "later"), "s")
     p = plan(upsert(t, s, "school_id"))
-    assert p.count("FullOuter") == 1
+    assert "LeftAnti" in p and "FullOuter" not in p
+    partial = plan(upsert(t, s, "school_id", update_cols=["name"]))
+    assert partial.count("FullOuter") == 1
+
+
+def test_bounded_source_upsert_never_shuffles_the_target(spark):
+    from campuslens.operators.upsert import upsert
+
+    t = L.stage(L.full_load(spark, SF_SMALL, "earlier"), "t")
+    s = L.stage(L.fact(L.top(spark, SF_SMALL, "later", 50)), "s")
+    p = plan(upsert(t, s, "school_id", source_rows_bound=50))
+    assert re.search(r"BroadcastHashJoin \[[^]]*\], \[[^]]*\], LeftAnti", p)
+    assert "Exchange hashpartitioning" not in p
 
 
 def test_measures_are_partial_aggregates(spark):
