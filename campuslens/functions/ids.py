@@ -16,19 +16,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from campuslens.session import stage
+
 _LOW_BITS = (1 << 33) - 1
 
 
 def global_position(df: DataFrame, order: list[Column], name: str = "pos") -> DataFrame:
     """Append a 1-based position in ``order``, which must be a total order.
 
-    A total order (ending in a unique key) makes the sort deterministic, so
-    both uses of the sorted frame below see the same rows in the same places
-    and the shared range exchange is reused within the one query.
+    The sorted, tagged frame is staged once in the shared folder: the ids
+    depend on the physical partitioning, and two evaluations of the sort
+    (one for the counts, one for the rows) are not guaranteed to partition
+    alike. Counts, offsets and positions all come from the one copy.
     """
-    tagged = (df.orderBy(*order)
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .withColumn("_part", F.shiftright(F.col("_mid"), 33)))
+    tagged = stage(df.orderBy(*order)
+                   .withColumn("_mid", F.monotonically_increasing_id())
+                   .withColumn("_part", F.shiftright(F.col("_mid"), 33)), "positions")
     counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_part",

@@ -20,27 +20,13 @@ from campuslens.operators.decode import decode, project_fact
 from campuslens.operators.fill import fill_missing
 from campuslens.operators.rank import TOP_K, rank_key, ranked_top_k
 from campuslens.operators.upsert import upsert
-from campuslens.session import scratch_path
+from campuslens.session import stage  # noqa: F401  (flows and callers use L.stage)
 from campuslens.sources.standin import EARLIER_RUN, LATER_RUN, school_raw
 
 PROGRAM = ("program_name", "program_id", codes.label_bound(codes.PROGRAM_NAME))
 PROGRAM_TYPE = ("program_type", "program_type_id", codes.label_bound(codes.PROGRAM_TYPE))
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Materialise a reused intermediate as parquet in the shared checkpoint folder.
-
-    Written once (one job), it cuts the lineage: later plans read the files
-    instead of re-deriving them, stay small for the optimizer, and survive
-    the loss of the executors that built them. Unlike an RDD checkpoint, the
-    parquet copy gives later reads column pruning, pushed filters and true
-    size statistics for join planning.
-    """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def run_window(run: str | None) -> dict:
     if run is None:
         return {}

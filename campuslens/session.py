@@ -61,6 +61,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 _READS: dict = {}
 
 
+def stage(df, name: str = "stage"):
+    """Materialise a frame as parquet in the shared checkpoint folder, read back.
+
+    Written once (one job), it cuts the lineage: later plans read the files
+    instead of re-deriving them, stay small for the optimizer, and survive
+    the loss of the executors that built them. Unlike an RDD checkpoint, the
+    parquet copy gives later reads column pruning, pushed filters and true
+    size statistics for join planning. It also freezes values that depend
+    on physical layout (``monotonically_increasing_id``), so every later use
+    sees the same ones.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str):
     """Read one of the driver's parquet tables.
 
