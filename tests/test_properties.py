@@ -123,3 +123,14 @@ def test_hot_key_holding_a_third_of_rows(spark):
     assert (summary.rows, summary.repeated_keys, summary.null_key_rows) == (n, 1, 0)
     firsts = {r.label: r.first_rank for r in D.first_occurrence(df, "label").collect()}
     assert firsts == {"hot": 0, "cold": 1}
+
+
+def test_global_position_on_many_partitions_keeps_every_row(spark):
+    """Regression: positions over a multi-partition sort cover 1..n exactly."""
+    n = 200_000
+    df = spark.range(n).select(F.col("id"), ((F.col("id") * 7919) % 200_003).alias("v")).repartition(16)
+    out = global_position(df, [F.col("v").asc(), F.col("id").asc()], "pos").toPandas()
+    assert len(out) == n
+    assert sorted(out["pos"]) == list(range(1, n + 1))
+    ordered = out.sort_values("v")
+    assert list(ordered["pos"]) == list(range(1, n + 1))
