@@ -26,6 +26,7 @@ from campuslens.plans import sql as S
 from campuslens.schemas import FACT_COLUMNS, RAW_COLUMNS, RECORD_COLUMNS
 from campuslens.session import scratch_path
 from campuslens.sources import pages as PG
+from campuslens.sources.tables import store_bucketed
 from campuslens.sources.standin import (EARLIER_RUN, LATER_RUN, course,
                                         school_raw)
 
@@ -392,7 +393,9 @@ FULL_TWO = "WITH " + S.full_load_ctes(**E_WIN, prefix="e_") + "," + S.full_load_
 
 @query("fact_upsert", f"{FULL_TWO} {_upsert_sql('e_university', 'l_university')}")
 def fact_upsert(spark, sf):
-    return upsert(L.full_load(spark, sf, "earlier"), L.full_load(spark, sf, "later"), "school_id")
+    """Whole-table upsert into a stored fact bucketed by key: the stored side is not shuffled."""
+    stored = store_bucketed(L.full_load(spark, sf, "earlier"), "university", "school_id")
+    return upsert(stored, L.full_load(spark, sf, "later"), "school_id")
 
 
 @query("check_source_unique", f"{FULL_TWO} SELECT CAST(sum(n) AS BIGINT) AS rows, count(school_id) AS distinct_keys,"

@@ -87,3 +87,18 @@ def test_no_query_plans_a_cross_join_or_python_udf(spark):
         if found:
             offenders[name] = found
     assert offenders == {}
+
+
+def test_bucketed_target_is_not_shuffled(spark):
+    from campuslens.operators.upsert import upsert
+    from campuslens.sources.tables import store_bucketed
+
+    stored = store_bucketed(L.full_load(spark, SF_SMALL, "earlier"), "university", "school_id", 4)
+    source = L.stage(L.full_load(spark, SF_SMALL, "later"), "s")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(upsert(stored, source, "school_id"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Bucketed: true" in p
+    assert p.count("Exchange hashpartitioning") == 1   # the source keys only
