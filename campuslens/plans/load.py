@@ -20,7 +20,7 @@ from campuslens.operators.decode import decode, project_fact
 from campuslens.operators.fill import fill_missing
 from campuslens.operators.rank import TOP_K, rank_key, ranked_top_k
 from campuslens.operators.upsert import upsert
-from campuslens.session import stage  # noqa: F401  (flows and callers use L.stage)
+from campuslens.session import session_key, stage  # noqa: F401  (callers use L.stage)
 from campuslens.sources.standin import EARLIER_RUN, LATER_RUN, school_raw
 
 PROGRAM = ("program_name", "program_id", codes.label_bound(codes.PROGRAM_NAME))
@@ -42,7 +42,7 @@ def school(spark: SparkSession, sf_dir: str, run: str | None = None) -> DataFram
 
     Like ``school_raw``, the lazy plan is built once per session and run.
     """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), run)
+    key = (session_key(spark), sf_dir.rstrip("/"), run)
     if key not in _DECODED:
         _DECODED[key] = decode(school_raw(spark, sf_dir, **run_window(run)))
     return _DECODED[key]

@@ -33,22 +33,38 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect sessions have no SparkContext
+        return None
+
+
+def session_key(spark: SparkSession):
+    """A key identifying the running application, for per-session caches."""
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else id(spark)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     ``spark.checkpoint.dir`` is read from the session; only when it is unset
     (a bare local test session) is a private folder created and registered.
     """
+    sc = _context(spark)
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(configured)
+        if sc is not None and sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(configured)
         return configured.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current.rstrip("/")
     local = tempfile.mkdtemp(prefix="campuslens-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
+    if sc is not None:
+        sc.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)
     return local
 
@@ -83,7 +99,7 @@ def table(spark: SparkSession, sf_dir: str, name: str):
     The input tables are read-only, so a session reuses one read handle per
     table instead of listing files and reading footers again per query.
     """
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    key = (session_key(spark), sf_dir.rstrip("/"), name)
     if key not in _READS:
         _READS[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return _READS[key]

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campuslens.session import table
+from campuslens.session import session_key, table
 
 # Order-date windows of the two loads used by upsert tests: an earlier run
 # over 1995-1996 and a later run from 1999 on. Customers with no order in a
@@ -45,7 +45,7 @@ def school_raw(spark: SparkSession, sf_dir: str, since: str | None = None,
     DataFrames are immutable, and building this one costs thousands of
     driver round trips.
     """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), since, until, reported_only)
+    key = (session_key(spark), sf_dir.rstrip("/"), since, until, reported_only)
     if key not in _PLANS:
         _PLANS[key] = _school_raw(spark, sf_dir, since, until, reported_only)
     return _PLANS[key]
