@@ -168,10 +168,8 @@ def preview(spark, sf):
     return decode(school_raw(spark, sf).orderBy("page", "pos").limit(5))
 
 
-@query("ranking_filtered", "WITH " + S.base_ctes().replace(
-    "school AS (", "school_all AS (", 1).replace(
-    "ranked AS (", f"school AS (SELECT * FROM school_all WHERE state IN ({_list_sql(RANK_STATES)})),\nranked AS (", 1)
-    + " SELECT * FROM top")
+@query("ranking_filtered", "WITH " + S.base_ctes(school_where=f"state IN ({_list_sql(RANK_STATES)})")
+       + " SELECT * FROM top")
 def ranking_filtered(spark, sf):
     return L.transform(DB.slice_facts(_school(spark, sf), states=RANK_STATES))
 

@@ -126,15 +126,20 @@ def fill_sql(rel: str, extra: list[str] | None = None) -> str:
     return f"SELECT {', '.join(cols)} FROM {rel}"
 
 
-def base_ctes(since=None, until=None, reported_only=False, k: int = TOP_K, prefix: str = "") -> str:
+def base_ctes(since=None, until=None, reported_only=False, k: int = TOP_K, prefix: str = "",
+              school_where: str | None = None) -> str:
     """CTEs: raw records, decoded records, ranked top-k, filled top-k.
 
     Names: {prefix}school_raw, {prefix}school, {prefix}ranked, {prefix}top.
+    ``school_where`` filters the decoded records (a slicer) before ranking.
     """
     p = prefix
+    school = school_sql(p + "school_raw")
+    if school_where:
+        school = f"SELECT * FROM ({school}) WHERE {school_where}"
     return f"""
 {p}school_raw AS ({school_raw_sql(since, until, reported_only)}),
-{p}school AS ({school_sql(p + 'school_raw')}),
+{p}school AS ({school}),
 {p}ranked AS (
     SELECT * FROM (
         SELECT *, CAST(row_number() OVER (ORDER BY {order_by_sql()}) AS INTEGER) AS rank
