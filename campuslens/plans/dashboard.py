@@ -26,13 +26,18 @@ METRICS = [
 
 
 def slice_facts(fact: DataFrame, states: list[str] | None = None,
-                school_types: list[str] | None = None) -> DataFrame:
-    """Slicers: keep rows whose state and school type are among the chosen ones."""
+                school_types: list[str] | None = None, **others: list) -> DataFrame:
+    """Slicers: keep rows whose state, school type (and any other column
+    given as ``column=[values]``) are among the chosen values.
+
+    Each slicer is an ``IN`` predicate, which a parquet scan receives as a
+    pushed filter; an empty or missing choice means "all".
+    """
+    choices = {"state": states, "school_type": school_types, **others}
     out = fact
-    if states:
-        out = out.where(F.col("state").isin(states))
-    if school_types:
-        out = out.where(F.col("school_type").isin(school_types))
+    for column, values in choices.items():
+        if values:
+            out = out.where(F.col(column).isin(list(values)))
     return out
 
 
