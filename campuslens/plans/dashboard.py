@@ -122,8 +122,8 @@ def levels_by_type(courses: DataFrame, fact: DataFrame) -> DataFrame:
     """Courses per (school type, program level).
 
     Courses are first counted per (school, level): that partial aggregate
-    shrinks the big side before it meets the fact, and the join key is then
-    unique per level on the fact side.
+    shrinks the big side before it meets the fact, which has one row per
+    school.
     """
     per_school = courses.groupBy("school_id", "program_level").agg(F.count(F.lit(1)).alias("n"))
     joined = per_school.join(fact.select("school_id", "school_type"), "school_id")
