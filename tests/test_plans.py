@@ -102,3 +102,11 @@ def test_bucketed_target_is_not_shuffled(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Bucketed: true" in p
     assert p.count("Exchange hashpartitioning") == 1   # the source keys only
+
+
+def test_flagship_scans_read_only_needed_columns(spark):
+    p = plan(L.top(spark, SF_SMALL))
+    assert ("ReadSchema: struct<o_custkey:bigint,o_orderstatus:string,o_totalprice:double,"
+            "o_orderpriority:string>") in p
+    assert "ReadSchema: struct<c_custkey:bigint,c_name:string,c_nationkey:int,c_acctbal:double>" in p
+    assert "o_orderdate" not in p   # the whole-run flagship has no date window
