@@ -14,6 +14,7 @@ before committing simply rewrites its own version folder.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,8 +48,13 @@ class VersionedTables:
     def _commits(self) -> DataFrame | None:
         try:
             return self.spark.read.schema("batch long").parquet(f"{self.root}/{COMMITS}")
-        except Exception:  # no commit yet: the folder does not exist
-            return None
+        except AnalysisException as err:
+            # Only "no commit yet" means an empty state. Any other failure
+            # must not be read as "nothing committed": the batch would then
+            # start from empty tables and commit a version that drops data.
+            if err.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
 
     def committed(self) -> list[int]:
         log = self._commits()
