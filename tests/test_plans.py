@@ -110,3 +110,18 @@ def test_flagship_scans_read_only_needed_columns(spark):
             "o_orderpriority:string>") in p
     assert "ReadSchema: struct<c_custkey:bigint,c_name:string,c_nationkey:int,c_acctbal:double>" in p
     assert "o_orderdate" not in p   # the whole-run flagship has no date window
+
+
+def test_size_checked_broadcast_falls_back_beyond_its_bound(spark):
+    from campuslens.functions.joins import broadcast_if_bounded
+
+    facts = spark.range(100).select((F.col("id") % 5).alias("k"), F.col("id"))
+    dim = spark.range(5).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        within = plan(facts.join(broadcast_if_bounded(dim, 10), "k", "left"))
+        beyond = plan(facts.join(broadcast_if_bounded(dim, 3), "k", "left"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in within
+    assert "BroadcastHashJoin" not in beyond and "SortMergeJoin" in beyond
