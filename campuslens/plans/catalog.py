@@ -545,6 +545,15 @@ def card_total_programs(spark, sf):
     return DB.card_total_programs(_university(spark, sf))
 
 
+@query("schools_by_program", f"{ALL_FACT} SELECT u.program_id, d.program_name, count(*) AS schools,"
+                             " round(avg(nullif(u.in_state_tuition, 0)), 6) AS avg_in_state_tuition"
+                             " FROM university u LEFT JOIN dim_program d ON u.program_id = d.program_id"
+                             " GROUP BY u.program_id, d.program_name")
+def schools_by_program(spark, sf):
+    fact, dim_program, _ = L.full_load_tables(spark, sf)
+    return DB.schools_by_program(fact, dim_program)
+
+
 @query("card_avg_credit_hours", f"WITH {COURSE_CTE} SELECT round(avg(nullif(CAST(credit_hours AS DOUBLE), 0)), 6)"
                                 " AS avg_credit_hours, count(*) AS courses FROM course")
 def card_avg_credit_hours(spark, sf):

@@ -105,6 +105,20 @@ def card_total_programs(fact: DataFrame) -> DataFrame:
                     F.count_distinct("program_type_id").alias("total_program_types"))
 
 
+def schools_by_program(fact: DataFrame, dim_program: DataFrame) -> DataFrame:
+    """Program page: schools and zero-excluding average tuition per program name.
+
+    The fact carries only ``program_id``; the name comes from the program
+    dimension. Aggregating first (per id) and then looking names up joins
+    the bounded dimension to at most one row per program, not to every fact.
+    """
+    per_id = fact.groupBy("program_id").agg(
+        F.count(F.lit(1)).alias("schools"),
+        rounded(avg_excluding_zero(F.col("in_state_tuition"))).alias("avg_in_state_tuition"))
+    return per_id.join(F.broadcast(dim_program), "program_id", "left").select(
+        "program_id", "program_name", "schools", "avg_in_state_tuition")
+
+
 def card_avg_credit_hours(courses: DataFrame) -> DataFrame:
     return courses.agg(
         rounded(avg_excluding_zero(F.col("credit_hours").cast("double"))).alias("avg_credit_hours"),

@@ -77,13 +77,18 @@ def fact(top_df: DataFrame) -> DataFrame:
     return project_fact(with_ids(top_df, dp, dt))
 
 
-def full_load(spark: SparkSession, sf_dir: str, run: str | None = None) -> DataFrame:
-    """``university`` rows for every school of a run, no cut."""
+def full_load_tables(spark: SparkSession, sf_dir: str, run: str | None = None):
+    """``university`` rows for every school of a run (no cut) and its dimensions."""
     # Staged once: the dimensions and the fact rows both read it.
     records = stage(school(spark, sf_dir, run).withColumn("_rank_key", rank_key()))
     filled = fill_missing(records)
     dp, dt = frame_dims(filled, "_rank_key")
-    return project_fact(with_ids(filled, dp, dt))
+    return project_fact(with_ids(filled, dp, dt)), dp, dt
+
+
+def full_load(spark: SparkSession, sf_dir: str, run: str | None = None) -> DataFrame:
+    """``university`` rows for every school of a run, no cut."""
+    return full_load_tables(spark, sf_dir, run)[0]
 
 
 def upsert_dims(stored_program: DataFrame, stored_type: DataFrame,

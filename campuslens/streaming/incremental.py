@@ -67,6 +67,20 @@ class VersionedTables:
             return self.spark.createDataFrame([], self.schemas[name])
         return self.spark.read.schema(self.schemas[name]).parquet(f"{self.root}/{name}/v={done[-1]}")
 
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Expose the latest committed tables to SQL as temporary views.
+
+        Dashboard users can then keep writing SQL
+        (``spark.sql("SELECT ... FROM university JOIN dim_program ...")``)
+        against the same versions the DataFrame functions read.
+        """
+        done = self.committed()
+        names = []
+        for name in TABLES:
+            self.current(name, done).createOrReplaceTempView(prefix + name)
+            names.append(prefix + name)
+        return names
+
     def write(self, batch: int, name: str, df: DataFrame) -> DataFrame:
         """Write one table's version of ``batch`` and return it read back."""
         path = f"{self.root}/{name}/v={batch}"

@@ -23,6 +23,12 @@ def test_stream_runs_equal_batch_load_and_rerun_is_noop(spark):
     expected = L.load_university(spark, SF_SMALL)
     assert _keys(tables.current("university")) == _keys(expected)
 
+    # the committed tables are queryable with SQL
+    tables.register_views("t_")
+    joined = spark.sql("SELECT count(*) AS n FROM t_university u JOIN t_dim_program d"
+                       " ON u.program_id = d.program_id").first().n
+    assert joined == expected.where("program_id IS NOT NULL").count()
+
     # nothing new landed: the stream commits nothing and the state is unchanged
     tables = run_available(spark, landing, state, ckpt, ["run"])
     assert tables.committed() == [0, 1]
