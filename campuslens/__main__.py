@@ -42,8 +42,11 @@ def _dashboard(spark, args) -> None:
     from campuslens.plans import dashboard as DB
     from campuslens.streaming.incremental import VersionedTables
 
-    fact = VersionedTables(spark, f"{args.state.rstrip('/')}/tables").current("university")
+    tables = VersionedTables(spark, f"{args.state.rstrip('/')}/tables")
+    done = tables.committed()
+    fact = tables.current("university", done)
     outputs = {
+        "schools_by_program": DB.schools_by_program(fact, tables.current("dim_program", done)),
         "card_total_schools": DB.card_total_schools(fact),
         "card_avg_tuition": DB.card_avg_tuition(fact),
         "graduation_by_type": DB.graduation_by_type(fact),

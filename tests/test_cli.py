@@ -24,3 +24,6 @@ def test_two_scheduled_loads_then_dashboard(spark):
     expected = L.load_university(spark, SF_SMALL)
     assert total.total_universities == expected.count()
     assert spark.read.parquet(f"{root}/dash/top_departments").count() == 10
+    programs = spark.read.parquet(f"{root}/dash/schools_by_program")
+    assert programs.where("program_name IS NULL").count() == 0
+    assert programs.agg({"schools": "sum"}).first()[0] == expected.count()
