@@ -19,13 +19,14 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
 
 
 def attach_id(df: DataFrame, dim: DataFrame, value_col: str, id_col: str,
-              max_rows: int | None = None) -> DataFrame:
+              proven_bound: int | None = None, checked_bound: int = 100_000) -> DataFrame:
     """Left outer lookup of ``id_col`` by name.
 
-    ``max_rows`` given: the dimension's bound is proven by construction
-    (decoded labels of a code table) and it is broadcast directly. ``None``:
-    a stored dimension of unknown size, checked first.
+    ``proven_bound``: the dimension's row bound is proven by construction
+    (decoded labels of a code table), so it is broadcast without a check.
+    Otherwise (a stored dimension of unknown provenance) it is counted first
+    and broadcast only within ``checked_bound`` rows.
     """
     side = dim.select(value_col, id_col)
-    side = F.broadcast(side) if max_rows is not None else broadcast_if_bounded(side, 100_000)
+    side = F.broadcast(side) if proven_bound is not None else broadcast_if_bounded(side, checked_bound)
     return df.join(side, value_col, "left")
