@@ -33,7 +33,7 @@ def _load(spark, args) -> None:
         land_pages(read_api(spark, args.api_url), f"{args.landing}/run={time.strftime('%Y%m%dT%H%M%S')}")
     state = args.state.rstrip("/")
     tables = run_available(spark, args.landing, f"{state}/tables", f"{state}/stream",
-                           ["run"], k=args.k)
+                           ["run"], k=args.k, on_repeat="latest" if args.keep_latest else "raise")
     done = tables.committed()
     print(f"committed batches: {done}")
 
@@ -79,6 +79,8 @@ def main(argv: list[str] | None = None) -> None:
     load.add_argument("--state", required=True)
     load.add_argument("--api-url")
     load.add_argument("--k", type=int, default=1000)
+    load.add_argument("--keep-latest", action="store_true",
+                      help="a school landed twice keeps its latest record instead of failing the load")
     dash = sub.add_parser("dashboard", help="write the dashboard tables")
     dash.add_argument("--state", required=True)
     dash.add_argument("--out", required=True)

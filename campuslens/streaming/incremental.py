@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from campuslens.operators.decode import decode, flatten_record
 from campuslens.operators.rank import TOP_K
+from campuslens.operators.upsert import assert_source_unique, latest_per_key
 from campuslens.plans import load as L
 from campuslens.sources.pages import unnest_pages
 from campuslens.schemas import (DIM_PROGRAM_SCHEMA, DIM_PROGRAM_TYPE_SCHEMA,
@@ -92,14 +93,25 @@ class VersionedTables:
          .write.mode("append").parquet(f"{self.root}/{COMMITS}"))
 
 
-def process_batch(tables: VersionedTables, batch: DataFrame, batch_id: int, k: int = TOP_K) -> None:
+def process_batch(tables: VersionedTables, batch: DataFrame, batch_id: int, k: int = TOP_K,
+                  on_repeat: str = "raise") -> None:
+    """Rank, cut, fill and load one batch of landed pages.
+
+    A school landed twice in one batch is an error (``on_repeat="raise"``),
+    or keeps its latest record by (page, position) (``"latest"``). This is
+    decided before ranking, so a repeat can never take two top-k places.
+    """
     done = tables.committed()
     if batch_id in done:
         return
-    records = unnest_pages(batch.drop("run"))
+    records = flatten_record(unnest_pages(batch.drop("run")))
+    if on_repeat == "latest":
+        records = latest_per_key(records, "school_id", ["page", "pos"])
+    else:
+        assert_source_unique(records, "school_id")
     # The top-k (at most k rows) feeds every later step: staged once in the
     # shared folder, it is computed once and survives the loss of an executor.
-    top_df = L.stage(L.transform(decode(flatten_record(records)), k), "batch_top")
+    top_df = L.stage(L.transform(decode(records), k), "batch_top")
     # Dimensions are written first; the fact then takes its ids from the
     # stored versions (the same flow as a batch load).
     fact, _, _ = L.load(*[tables.current(t, done) for t in TABLES], top_df,
@@ -109,13 +121,13 @@ def process_batch(tables: VersionedTables, batch: DataFrame, batch_id: int, k: i
 
 
 def run_available(spark: SparkSession, landing: str, state_root: str, checkpoint: str,
-                  levels: list[str], k: int = TOP_K) -> VersionedTables:
+                  levels: list[str], k: int = TOP_K, on_repeat: str = "raise") -> VersionedTables:
     """Process every page landed since the last run, then stop."""
     tables = VersionedTables(spark, state_root)
     stream = (spark.readStream.schema(landing_schema(levels))
               .option("mode", "FAILFAST").json(landing))
     query = (stream.writeStream
-             .foreachBatch(lambda df, bid: process_batch(tables, df, bid, k))
+             .foreachBatch(lambda df, bid: process_batch(tables, df, bid, k, on_repeat))
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
              .start())

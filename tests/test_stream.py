@@ -39,3 +39,27 @@ def test_stream_runs_equal_batch_load_and_rerun_is_noop(spark):
     process_batch(tables, later_pages, 1)
     assert tables.committed() == [0, 1]
     assert _keys(tables.current("university")) == _keys(expected)
+
+
+def test_repeated_school_in_a_batch_fails_or_keeps_latest(spark, tmp_path):
+    import json
+
+    import pytest
+
+    def land(root):
+        d = root / "landing" / "run=a"
+        d.mkdir(parents=True)
+        lines = [{"page": 1, "results": [{"id": 1, "school.name": "old"}, {"id": 2, "school.name": "b"}]},
+                 {"page": 2, "results": [{"id": 1, "school.name": "new"}]}]
+        (d / "part-0.json").write_text("\n".join(json.dumps(x) for x in lines) + "\n")
+        return str(root / "landing")
+
+    strict_root = tmp_path / "strict"
+    with pytest.raises(Exception):
+        run_available(spark, land(strict_root), str(strict_root / "state"), str(strict_root / "ckpt"), ["run"])
+
+    lenient_root = tmp_path / "lenient"
+    tables = run_available(spark, land(lenient_root), str(lenient_root / "state"),
+                           str(lenient_root / "ckpt"), ["run"], on_repeat="latest")
+    names = {r.school_id: r.name for r in tables.current("university").collect()}
+    assert names == {1: "new", 2: "b"}
