@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from campuslens.llm import token_blocks
+from campuslens.llm import sentencepiece_codec, token_blocks, token_counts
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -33,3 +33,18 @@ def op2_token_files(spark, sf_dir):
     """Token files of all documents, read back: place, size and checksum."""
     return token_blocks.token_files(read(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"),
                                     vocab=49_408, digest=True)
+
+
+@query("op8_sentencepiece")
+def op8_sentencepiece(spark, sf_dir):
+    """Piece ids of every document, decoded again."""
+    return sentencepiece_codec.encode_decode(read(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
+@query("op10_token_counts")
+def op10_token_counts(spark, sf_dir):
+    """Tokens of every line of every document, encoded as a whole."""
+    import public_tokenizers
+
+    return token_counts.section_token_counts(read(spark, sf_dir, "documents"),
+                                             tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
