@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from campuslens.llm import sentencepiece_codec, token_blocks, token_counts
+import functools
+
+from pyspark.sql import functions as F
+
+from campuslens.llm import ann, mixing, sentencepiece_codec, token_blocks, token_counts, top_k
+from campuslens.llm.ship import ship
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -10,10 +15,15 @@ ORACLES: dict = {}
 
 def query(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark, sf_dir):
+            ship(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
-        return fn
+        return run
     return deco
 
 
@@ -48,3 +58,66 @@ def op10_token_counts(spark, sf_dir):
 
     return token_counts.section_token_counts(read(spark, sf_dir, "documents"),
                                              tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op4_top_k", """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS q
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+    SELECT a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id, score
+FROM s QUALIFY rank <= 10""")
+def op4_top_k(spark, sf_dir):
+    """The ten vectors of the highest integer inner product, by query row."""
+    return top_k.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
+@query("op5_mixing", f"""
+WITH d AS (
+    SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '{mixing.WORD}')), 0) AS BIGINT) AS size,
+           md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS draw
+    FROM documents),
+s AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+           CASE row_number() OVER (ORDER BY source NULLS LAST) % 3 WHEN 1 THEN 5 WHEN 2 THEN 2 ELSE 1 END AS w
+    FROM d GROUP BY source),
+l AS (
+    SELECT *, 3 * source_size AS cap, CAST(sum(source_size) OVER () AS BIGINT) AS total,
+           CAST(coalesce(sum(3 * source_size) OVER (ORDER BY 3 * source_size / w, source NULLS LAST
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS cap_before,
+           CAST(sum(w) OVER (ORDER BY 3 * source_size / w, source NULLS LAST
+               ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS BIGINT) AS w_left
+    FROM s),
+c AS (SELECT *, cap * w_left < (total - cap_before) * w AS capped FROM l),
+t AS (
+    SELECT source, source_size, cap,
+           CASE WHEN capped THEN CAST(cap AS DOUBLE)
+                ELSE CAST((total - CAST(coalesce(sum(cap) FILTER (capped) OVER (), 0) AS BIGINT)) * w AS DOUBLE)
+                     / CAST(sum(w) FILTER (NOT capped) OVER () AS DOUBLE) END AS target
+    FROM c),
+g AS (
+    SELECT source, source_size, target, least(CAST(floor(target + 0.5) AS BIGINT), cap) AS goal,
+           CASE WHEN source_size > 0 THEN least(CAST(floor(target + 0.5) AS BIGINT), cap) // source_size ELSE 0 END AS whole
+    FROM t),
+r AS (
+    SELECT *, CAST(coalesce(sum(size) OVER (PARTITION BY source ORDER BY draw, doc_id, size
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS ahead
+    FROM d)
+SELECT r.doc_id, r.size, g.source_size, g.target,
+       CAST(g.whole * r.size + greatest(0, least(r.size, g.goal - g.whole * g.source_size - r.ahead)) AS BIGINT) AS taken
+FROM r JOIN g ON r.source IS NOT DISTINCT FROM g.source""")
+def op5_mixing(spark, sf_dir):
+    """Words of every document that a mix of the sources by weight takes."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op9_nearest")
+def op9_nearest(spark, sf_dir):
+    """The twenty nearest vectors found, by query row."""
+    return ann.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
