@@ -6,7 +6,7 @@ import functools
 
 from pyspark.sql import functions as F
 
-from campuslens.llm import ann, mixing, sentencepiece_codec, token_blocks, token_counts, top_k
+from campuslens.llm import ann, mixing, sentencepiece_codec, token_blocks, token_counts, top_k, toxicity
 from campuslens.llm.ship import ship
 
 QUERIES: dict = {}
@@ -121,3 +121,11 @@ def op5_mixing(spark, sf_dir):
 def op9_nearest(spark, sf_dir):
     """The twenty nearest vectors found, by query row."""
     return ann.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark, sf_dir):
+    """Toxicity of every document; the fold ``held_out`` teaches nothing."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, read(spark, sf_dir, "labels"), ~toxicity.held_out())
+    return toxicity.score(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")

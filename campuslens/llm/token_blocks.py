@@ -89,6 +89,15 @@ def unpack(payload: bytes) -> np.ndarray:
 
 
 # ------------------------------------------------------------- tokenizing
+def piece_cuts(low: np.ndarray) -> np.ndarray:
+    """Where ASCII punctuation follows an ASCII or Latin-1 letter."""
+    after = _LETTER[low]
+    after[1:] |= (low[:-1] == 0xC3) & _LATIN[low[1:]]
+    cut = np.zeros(len(low), bool)
+    cut[1:] = _PUNCT[low[1:]] & after[:-1]
+    return cut
+
+
 _MEMOS: dict = {}
 
 
@@ -116,12 +125,7 @@ def encode_column(column, path: str, end_id: int | None = END_ID):
             ids, count = memo.values(data, starts, ends, salt=1)
         else:
             low = LOWER[data]
-            after = _LETTER[low]
-            latin = np.zeros(len(low), bool)
-            latin[1:] = (low[:-1] == 0xC3) & _LATIN[low[1:]]
-            cut = np.zeros(len(low), bool)
-            cut[1:] = _PUNCT[low[1:]] & (after | latin)[:-1]
-            starts, ends, rows = word_bounds(low, off, cut)
+            starts, ends, rows = word_bounds(low, off, piece_cuts(low))
             ids, count = memo.values(low, starts, ends)
         total = np.concatenate([[0], np.cumsum(count)])[rows]
         if end_id is not None:
