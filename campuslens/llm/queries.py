@@ -6,7 +6,7 @@ import functools
 
 from pyspark.sql import functions as F
 
-from campuslens.llm import ann, mixing, sentencepiece_codec, token_blocks, token_counts, top_k, toxicity
+from campuslens.llm import ann, mixing, sentencepiece_codec, site_tree, token_blocks, token_counts, top_k, toxicity
 from campuslens.llm.ship import ship
 
 QUERIES: dict = {}
@@ -129,3 +129,9 @@ def op6_toxicity(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs, read(spark, sf_dir, "labels"), ~toxicity.held_out())
     return toxicity.score(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+@query("op7_main_text")
+def op7_main_text(spark, sf_dir):
+    """The article text of every page."""
+    return site_tree.main_text(read(spark, sf_dir, "pages"))
