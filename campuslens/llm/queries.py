@@ -6,7 +6,7 @@ import functools
 
 from pyspark.sql import functions as F
 
-from campuslens.llm import ann, mixing, sentencepiece_codec, site_tree, token_blocks, token_counts, top_k, toxicity
+from campuslens.llm import ann, jaccard_join, mixing, sentencepiece_codec, site_tree, token_blocks, token_counts, top_k, toxicity
 from campuslens.llm.ship import ship
 
 QUERIES: dict = {}
@@ -135,3 +135,32 @@ def op6_toxicity(spark, sf_dir):
 def op7_main_text(spark, sf_dir):
     """The article text of every page."""
     return site_tree.main_text(read(spark, sf_dir, "pages"))
+
+
+@query("op1_jaccard_join", """
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+    FROM documents),
+s AS (
+    SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1),
+                                                  lambda i: array_to_string(w[i:i + 4], ' '))) AS s
+    FROM w WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o
+    FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (
+    SELECT x, y FROM o JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y
+    WHERE 100 * o >= 80 * (p.n + q.n - o)),
+r AS (SELECT x, y FROM e UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x),
+g AS (SELECT doc_id, s, min(doc_id) OVER (PARTITION BY f) AS class_id
+      FROM (SELECT doc_id, 0 AS s, list_sort(list(s)) AS f FROM s GROUP BY doc_id)),
+d AS (SELECT x, count(*) AS links FROM e GROUP BY x)
+SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles,
+       least(w.doc_id, (SELECT min(y) FROM r WHERE r.x = w.doc_id)) AS component_id,
+       coalesce(g.class_id, w.doc_id) AS class_id, CAST(coalesce(d.links, 0) AS BIGINT) AS n_links
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN g USING (doc_id) LEFT JOIN d ON d.x = w.doc_id""")
+def op1_jaccard_join(spark, sf_dir):
+    """The near-duplicate component of every document."""
+    return jaccard_join.similarity_classes(read(spark, sf_dir, "documents"))
