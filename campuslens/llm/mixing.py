@@ -95,7 +95,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS, seed: str = SEED
 def repeat(mixed: DataFrame) -> DataFrame:
     """The mixed documents themselves: ``mix``'s rows repeated as taken.
 
-    A last, partial repetition holds the document's first words.
+    A last, partial repetition holds the document's first words, and
+    ``n_chars`` follows it.
     """
     whole = F.when(F.col("size") > 0, F.expr("taken div size")).otherwise(F.lit(0))
     part = F.when(F.col("size") > 0, F.expr("taken % size")).otherwise(F.lit(0))
@@ -104,7 +105,10 @@ def repeat(mixed: DataFrame) -> DataFrame:
     copies = F.concat(F.when(F.col("_whole") > 0, F.sequence(F.lit(1), F.col("_whole").cast("int")))
                       .otherwise(F.array().cast("array<int>")),
                       F.when(F.col("_part") > 0, F.array(F.lit(0))).otherwise(F.array().cast("array<int>")))
-    return (mixed.withColumn("_whole", whole).withColumn("_part", part)
+    rows = (mixed.withColumn("_whole", whole).withColumn("_part", part)
             .withColumn("_copy", F.explode(copies))
-            .withColumn("text", F.when(F.col("_copy") == 0, cut).otherwise(F.col("text")))
-            .drop("_whole", "_part", "_copy"))
+            .withColumn("text", F.when(F.col("_copy") == 0, cut).otherwise(F.col("text"))))
+    if "n_chars" in mixed.columns:
+        rows = rows.withColumn("n_chars", F.when(F.col("_copy") == 0, F.length("text").cast(mixed.schema["n_chars"].dataType))
+                               .otherwise(F.col("n_chars")))
+    return rows.drop("_whole", "_part", "_copy")

@@ -6,7 +6,7 @@ import functools
 
 from pyspark.sql import functions as F
 
-from campuslens.llm import ann, jaccard_join, mixing, sentencepiece_codec, site_tree, token_blocks, token_counts, top_k, toxicity
+from campuslens.llm import ann, jaccard_join, mixing, passages, sentencepiece_codec, site_tree, token_blocks, token_counts, top_k, toxicity
 from campuslens.llm.ship import ship
 
 QUERIES: dict = {}
@@ -164,3 +164,9 @@ FROM w LEFT JOIN n USING (doc_id) LEFT JOIN g USING (doc_id) LEFT JOIN d ON d.x
 def op1_jaccard_join(spark, sf_dir):
     """The near-duplicate component of every document."""
     return jaccard_join.similarity_classes(read(spark, sf_dir, "documents"))
+
+
+@query("op3_passages")
+def op3_passages(spark, sf_dir):
+    """Passages of fifty words or more that repeat a document of a smaller doc_id."""
+    return passages.repeated_passages(read(spark, sf_dir, "documents"))

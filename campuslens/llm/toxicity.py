@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from campuslens.llm.text import LOWER, Memo, chunks, word_bounds
 from campuslens.llm.token_blocks import piece_cuts
@@ -150,9 +151,11 @@ _SCORERS: dict = {}
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, score, predicted) of every row."""
+    """``docs`` with score and predicted (its own columns of these names give way)."""
     weight, bias = model.weight, model.bias
     key = binascii.crc32(weight.tobytes() + np.float64(bias).tobytes())
+    docs = docs.select(*[c for c in docs.columns if c not in ("score", "predicted")])
+    names, text_at = docs.columns, docs.columns.index("text")
 
     def run(batches):
         if key not in _SCORERS:
@@ -161,19 +164,20 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                                  np.float64)
         memo, own = _SCORERS[key], Model(weight, bias)
         for batch in batches:
-            for lo, hi, data, off in chunks(batch.column(1)):
+            for lo, hi, data, off in chunks(batch.column(text_at)):
                 low = LOWER[data]
                 starts, ends, rows = word_bounds(low, off, piece_cuts(low))
                 flat, _ = memo.values(low, starts, ends)
                 total = np.concatenate([np.zeros((1, 2)), np.cumsum(flat.reshape(-1, 2), axis=0)])[rows]
                 total = np.diff(total, axis=0)
                 p = own.score(total[:, 0] / np.maximum(total[:, 1], 1))
+                part = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(p), pa.array((p >= 0.5).astype(np.int32))],
-                    ["doc_id", "score", "predicted"])
+                    [*part.columns, pa.array(p), pa.array((p >= 0.5).astype(np.int32))],
+                    [*names, "score", "predicted"])
 
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .mapInArrow(run, "doc_id long, score double, predicted int"))
+    schema = StructType([*docs.schema.fields, StructField("score", DoubleType()), StructField("predicted", IntegerType())])
+    return docs.mapInArrow(run, schema)
 
 
 def held_out(doc_id: Column = None) -> Column:

@@ -1,18 +1,70 @@
-"""The corpus pipeline: stages over ``documents``, each one an operator of llm."""
+"""The corpus pipeline: stages over ``documents``, each one an operator of llm.
+
+A stage takes (spark, docs, sf_dir) and returns the documents it keeps, with
+the columns of ``documents``; the last returns the encoded corpus. Every
+result is written as Parquet in the shared folder and read again.
+
+Defined cases: documents of null or empty text pass the filters (they are
+not toxic, and link with nothing) and end as rows without tokens only if the
+mix takes them, which it does not (size 0). Rows with a null doc_id pass the
+pair stages untouched. Empty tables give empty results.
+"""
 
 from __future__ import annotations
 
-from campuslens.session import scratch_path
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from campuslens.llm import jaccard_join, mixing, passages, sentencepiece_codec, toxicity
+from campuslens.llm.queries import read, tokenizer_file
+from campuslens.llm.ship import ship
+from campuslens.session import scratch_path, stage
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model does not reject."""
+    ship(spark)
+    model = toxicity.train(docs, read(spark, sf_dir, "labels"), ~toxicity.held_out())
+    return toxicity.score(docs, model).where("predicted = 0").select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near-duplicates: the smallest doc_id."""
+    ship(spark)
+    classes = stage(jaccard_join.similarity_classes(docs).select("doc_id", "component_id"), "near-copies")
+    gone = classes.where("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.where(F.col("doc_id").isNotNull()).join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    return kept.select(*docs.columns).union(docs.where(F.col("doc_id").isNull()))
+
+
+def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that repeat an earlier document's."""
+    ship(spark)
+    return passages.remove_passages(docs, stage(passages.repeated_passages(docs), "passages"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated and cut as the mix of the sources takes them."""
+    return mixing.repeat(mixing.mix(docs)).select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, with what decoding them gives."""
+    ship(spark)
+    return sentencepiece_codec.encode_decode(docs, tokenizer_file("piece_bpe_32k.model"))
+
 
-STAGES: list = []
+STAGES = [("toxicity", drop_toxic), ("jaccard_join", drop_near_copies), ("passages", drop_repeated_passages),
+          ("mixing", mix_sources), ("sentencepiece", encode)]
+#: Not one of learned scores, compact windows and piece ids can be said in SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir: str):
-    """Apply the stages to ``documents``; each result is written and reread."""
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    for name, stage in STAGES:
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apply the stages to ``documents``."""
+    docs = read(spark, sf_dir, "documents")
+    for name, step in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        step(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
