@@ -8,8 +8,10 @@
 (an available-now stream with its checkpoint under ``--state``). It ranks
 the new records, keeps the top k, fills, upserts the dimensions and upserts
 the fact, writing new table versions. With ``--api-url`` (a ``{page}``
-template), the pages are first fetched page-parallel and landed as one new
-``run=`` folder.
+template), the pages are first fetched page-parallel and landed as they come
+as one new ``run=`` folder. Several runs landed since the last load are
+loaded together. Under spark-submit, the submitter's master and settings
+hold, and ``spark.checkpoint.dir`` must name a shared folder.
 
 ``dashboard`` reads the current committed tables and writes one parquet
 table per dashboard question under ``--out``. The course questions need a
@@ -21,21 +23,27 @@ from __future__ import annotations
 
 import argparse
 import time
+import uuid
+
+
+def run_label() -> str:
+    """A run's label: UTC time, so labels sort in load order, and a unique suffix."""
+    return f"{time.strftime('%Y%m%dT%H%M%S', time.gmtime())}-{uuid.uuid4().hex[:8]}"
 
 
 def _load(spark, args) -> None:
-    from campuslens.sources.api import read_api
-    from campuslens.sources.pages import land_pages
+    from campuslens.sources.api import land_api
     from campuslens.streaming.incremental import run_available
 
     if args.api_url:
-        # run labels are UTC timestamps, so they sort in load order
-        land_pages(read_api(spark, args.api_url), f"{args.landing}/run={time.strftime('%Y%m%dT%H%M%S')}")
+        options = dict(o.split("=", 1) for o in args.api_option)
+        land_api(spark, args.api_url, f"{args.landing}/run={run_label()}", **options)
     state = args.state.rstrip("/")
     tables = run_available(spark, args.landing, f"{state}/tables", f"{state}/stream",
                            ["run"], k=args.k, on_repeat="latest" if args.keep_latest else "raise")
-    done = tables.committed()
-    print(f"committed batches: {done}")
+    if args.keep_versions:
+        tables.expire(args.keep_versions)
+    print(f"committed versions: {tables.committed()}")
 
 
 def _dashboard(spark, args) -> None:
@@ -43,7 +51,7 @@ def _dashboard(spark, args) -> None:
     from campuslens.streaming.incremental import VersionedTables
 
     tables = VersionedTables(spark, f"{args.state.rstrip('/')}/tables")
-    done = tables.committed()
+    done = tables.log()
     fact = tables.current("university", done)
     outputs = {
         "schools_by_program": DB.schools_by_program(fact, tables.current("dim_program", done)),
@@ -78,18 +86,24 @@ def main(argv: list[str] | None = None) -> None:
     load.add_argument("--landing", required=True)
     load.add_argument("--state", required=True)
     load.add_argument("--api-url")
+    load.add_argument("--api-option", action="append", default=[], metavar="NAME=VALUE",
+                      help="option of the page reader (fields, per_page, api_key, retries, ...)")
     load.add_argument("--k", type=int, default=1000)
+    load.add_argument("--keep-versions", type=int, default=0,
+                      help="delete files that only older commits than this many refer to")
     load.add_argument("--keep-latest", action="store_true",
                       help="a school landed twice keeps its latest record instead of failing the load")
     dash = sub.add_parser("dashboard", help="write the dashboard tables")
     dash.add_argument("--state", required=True)
     dash.add_argument("--out", required=True)
     dash.add_argument("--courses")
+    for command in (load, dash):
+        command.add_argument("--input-gb", type=float, help="size partitions for a run over this much data")
     args = parser.parse_args(argv)
 
     from campuslens.session import get_session
 
-    spark = get_session()
+    spark = get_session(input_bytes=int(args.input_gb * 2 ** 30) if args.input_gb else None)
     try:
         (_load if args.command == "load" else _dashboard)(spark, args)
     finally:

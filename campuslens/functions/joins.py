@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Rows of a small side that may be broadcast (narrow rows: a few megabytes).
+CHECKED_BOUND = 100_000
+
+
 def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only if it has at most ``max_rows`` rows.
 
@@ -19,7 +23,7 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
 
 
 def attach_id(df: DataFrame, dim: DataFrame, value_col: str, id_col: str,
-              proven_bound: int | None = None, checked_bound: int = 100_000) -> DataFrame:
+              proven_bound: int | None = None, checked_bound: int = CHECKED_BOUND) -> DataFrame:
     """Left outer lookup of ``id_col`` by name.
 
     ``proven_bound``: the dimension's row bound is proven by construction

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from campuslens.schemas import REPORTED
+
 # ---------------------------------------------------------------------------
 # Fixed values. "Highly Selective" at or below 10 % is documented; the other
 # bounds and labels are this package's defaults (a parameter of
@@ -46,6 +48,15 @@ def display_percent(c: Column) -> Column:
             .otherwise(F.concat(F.round(c * 100).cast("bigint").cast("string"), F.lit("%"))))
 
 
+def reported_rate(fact: DataFrame) -> Column:
+    """The admission rate as reported: null where it was missing or is a stored zero.
+
+    Facts without the internal flag cannot tell a filled 1 from a true one.
+    """
+    rate = zero_as_null(F.col("admission_rate"))
+    return F.when(F.col(REPORTED), rate) if REPORTED in fact.columns else rate
+
+
 def selectivity_band(rate: Column, bands=SELECTIVITY_BANDS, above: str = ABOVE_BANDS) -> Column:
     """Band label of an admission rate; each bound is inclusive; null -> Not Reported."""
     expr = F.when(rate.isNull(), F.lit(NOT_REPORTED))

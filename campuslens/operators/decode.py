@@ -4,19 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from campuslens.functions import codes
-from campuslens.schemas import API_FIELDS, FACT_COLUMNS, RECORD_COLUMNS
+from campuslens.schemas import API_FIELDS, FACT_COLUMNS, RECORD_COLUMNS, REPORTED
 
 
 def flatten_record(records: DataFrame) -> DataFrame:
     """Rename the dotted API keys of unnested page records to plain columns.
 
+    A NaN is a missing value and becomes null, so it ranks last like one.
     Dotted names are back-ticked once here and never referred to again.
     Extra columns (page ordinals) are kept after the record columns.
     """
     present = set(records.columns)
-    cols = [F.col(f"`{key}`").alias(plain) for key, plain, _ in API_FIELDS if key in present]
+
+    def value(key, kind):
+        c = F.col(f"`{key}`")
+        return F.when(~F.isnan(c), c) if isinstance(kind, T.DoubleType) else c
+
+    cols = [value(key, kind).alias(plain) for key, plain, kind in API_FIELDS if key in present]
     plain_keys = {key for key, _, _ in API_FIELDS}
     extras = [F.col(f"`{c}`") for c in records.columns if c not in plain_keys]
     return records.select(*cols, *extras)
@@ -36,5 +43,8 @@ def decode(raw: DataFrame) -> DataFrame:
 
 
 def project_fact(df: DataFrame) -> DataFrame:
-    """The 17 columns of the ``university`` fact table."""
-    return df.select(*FACT_COLUMNS)
+    """The 17 columns of the ``university`` fact table.
+
+    The internal flag ``admission_reported`` follows where the rows have it.
+    """
+    return df.select(*FACT_COLUMNS, *[c for c in (REPORTED,) if c in df.columns])

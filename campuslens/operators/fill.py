@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from campuslens.schemas import REPORTED
+
 # ---------------------------------------------------------------------------
 # Columns filled with 0 after the cut, and the fill of the
 # admission rate.
@@ -43,3 +45,8 @@ def cast_price_calculator(df: DataFrame) -> DataFrame:
 def fill_missing(df: DataFrame) -> DataFrame:
     """All three steps in the order the load applies them."""
     return cast_price_calculator(fill_admission_rate(fill_zero(df)))
+
+
+def flag_reported(df: DataFrame) -> DataFrame:
+    """Keep, before the fills, whether the admission rate was reported."""
+    return df.withColumn(REPORTED, F.col("admission_rate").isNotNull())

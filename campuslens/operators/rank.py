@@ -33,6 +33,9 @@ TOP_K = 1000
 TIE_BREAK = "school_id"
 # ---------------------------------------------------------------------------
 
+# Rows that one task may number by a window.
+ONE_TASK_ROWS = 100_000
+
 
 def _sort_col(name: str, direction: str) -> Column:
     c = F.col(name)
@@ -63,7 +66,10 @@ def rank_key(keys=RANK_KEYS, tie_break: str = TIE_BREAK) -> Column:
 
 
 def rank_sort(df: DataFrame, name: str = "sort_pos") -> DataFrame:
-    """Whole table in rank order with a 1-based position (distributed)."""
+    """Every row with its 1-based position in rank order (distributed).
+
+    Rows come back in no particular order; ``sort_pos`` is the order.
+    """
     return global_position(df, rank_order(), name)
 
 
@@ -73,18 +79,22 @@ def top_k(df: DataFrame, k: int = TOP_K) -> DataFrame:
 
 
 def ranked_top_k(df: DataFrame, k: int = TOP_K, name: str = "rank") -> DataFrame:
-    """Best k rows with their 1-based rank; numbering runs on <= k rows."""
-    return top_k(df, k).withColumn(name, small_row_number(rank_order()))
+    """Best k rows with their 1-based rank.
 
-
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    """First rows in rank order, like a frame's ``head()``."""
-    return top_k(df, n)
+    Up to ``ONE_TASK_ROWS`` rows are numbered in one task; more get
+    distributed positions, with the same result.
+    """
+    best = top_k(df, k)
+    if k > ONE_TASK_ROWS:
+        return global_position(best, rank_order(), name).withColumn(name, F.col(name).cast("int"))
+    return best.withColumn(name, small_row_number(rank_order()))
 
 
 def resort(ranked: DataFrame, column: str, descending: bool = True,
-           name: str = "position", tie_break: str = TIE_BREAK) -> DataFrame:
-    """Re-sort a ranking table by a chosen column (bounded input: a top-k)."""
+           name: str = "position", tie_break: str = TIE_BREAK, k: int = TOP_K) -> DataFrame:
+    """Re-sort a ranking table of at most ``k`` rows by a chosen column."""
     c = F.col(column)
     order = [c.desc_nulls_last() if descending else c.asc_nulls_last(), F.col(tie_break).asc()]
+    if k > ONE_TASK_ROWS:
+        return global_position(ranked, order, name).withColumn(name, F.col(name).cast("int"))
     return ranked.withColumn(name, small_row_number(order))

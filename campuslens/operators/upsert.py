@@ -6,8 +6,7 @@ Without a merge-capable table format the merge is expressed with joins.
 case): the result is the target rows whose key is not in the source, plus
 every source row. That is one left anti join on the source *keys* and a
 union: the source rows themselves never take part in a join. When the
-source has a proven row bound (a top-k load of at most k rows) its keys
-are broadcast, so the target, which grows with every load, is never
+source has a proven and small row bound (a top-k load) its keys are broadcast, so the target, which grows with every load, is never
 shuffled. Otherwise the anti join shuffles the target and the source keys
 once each.
 
@@ -28,6 +27,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from campuslens.functions.joins import CHECKED_BOUND
+
 _S, _T = "_in_source", "_in_target"
 
 
@@ -38,7 +39,8 @@ def upsert(target: DataFrame, source: DataFrame, key: str,
 
     ``update_cols``: columns a match overwrites (default: every non-key
     column). ``source_rows_bound``: a proven upper bound on the source's
-    rows (for example k for a top-k load); its keys are then broadcast.
+    rows (for example k for a top-k load); its keys are broadcast if the
+    bound is at most ``CHECKED_BOUND``, and shuffled beyond it.
     Output has the target's columns in the target's order.
     """
     columns = target.columns
@@ -50,7 +52,7 @@ def upsert(target: DataFrame, source: DataFrame, key: str,
 
 def _replace_by_key(target: DataFrame, src: DataFrame, key: str, bound: int | None) -> DataFrame:
     keys = src.select(key).where(F.col(key).isNotNull())
-    if bound is not None:
+    if bound is not None and bound <= CHECKED_BOUND:
         keys = F.broadcast(keys)
     return target.join(keys, key, "left_anti").unionByName(src)
 
@@ -87,9 +89,12 @@ def check_source_unique(source: DataFrame, key: str) -> DataFrame:
     )
 
 
-def assert_source_unique(source: DataFrame, key: str) -> None:
-    """Raise when a key occurs twice in the source (it would duplicate a target row)."""
-    repeated = (source.where(F.col(key).isNotNull()).groupBy(key).count()
+def assert_source_unique(source: DataFrame, key: str, within: list[str] = ()) -> None:
+    """Raise when a key occurs twice in the source (it would duplicate a target row).
+
+    With ``within``, only repeats that agree on those columns count.
+    """
+    repeated = (source.where(F.col(key).isNotNull()).groupBy(key, *within).count()
                 .where(F.col("count") > 1).limit(1).count())
     if repeated:
         raise ValueError(f"source has repeated {key} values; an upsert would duplicate target rows")
@@ -99,9 +104,11 @@ def latest_per_key(source: DataFrame, key: str, order_cols: list[str]) -> DataFr
     """Keep one source row per key: the last by ``order_cols`` (e.g. page, pos).
 
     ``max_by`` on a struct is a partial aggregate, so a key repeated in a
-    third of all rows still shuffles one row per partition.
+    third of all rows still shuffles one row per partition. Null keys match
+    nothing, so all their rows are kept.
     """
     others = [c for c in source.columns if c != key]
-    picked = (source.groupBy(key)
+    picked = (source.where(F.col(key).isNotNull()).groupBy(key)
               .agg(F.max_by(F.struct(*others), F.struct(*order_cols)).alias("_row")))
-    return picked.select(key, "_row.*").select(*source.columns)
+    return (picked.select(key, "_row.*").select(*source.columns)
+            .unionByName(source.where(F.col(key).isNull())))

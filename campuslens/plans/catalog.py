@@ -13,8 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from campuslens.functions import codes
-from campuslens.functions.measures import (ABOVE_BANDS, NOT_REPORTED,
-                                           SELECTIVITY_BANDS)
+from campuslens.functions.measures import NOT_REPORTED
 from campuslens.operators import dims as D
 from campuslens.operators import fill as FL
 from campuslens.operators import rank as R
@@ -26,9 +25,9 @@ from campuslens.plans import sql as S
 from campuslens.schemas import FACT_COLUMNS, RAW_COLUMNS, RECORD_COLUMNS
 from campuslens.session import scratch_path
 from campuslens.sources import pages as PG
-from campuslens.sources.tables import store_bucketed
+from campuslens.sources.tables import append_rows, store_bucketed
 from campuslens.sources.standin import (EARLIER_RUN, LATER_RUN, course,
-                                        school_raw)
+                                        course_counts, school_raw)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -55,7 +54,7 @@ def query(name: str, sql: str | None):
 # SQL building blocks
 # ---------------------------------------------------------------------------
 BASE = "WITH " + S.base_ctes()
-E_WIN = dict(since=EARLIER_RUN[0], until=EARLIER_RUN[1], reported_only=True)
+E_WIN = dict(since=EARLIER_RUN[0], until=EARLIER_RUN[1], reported_only=True, old_codes=True)
 L_WIN = dict(since=LATER_RUN[0], until=LATER_RUN[1], reported_only=True)
 TWO_RUNS = ("WITH " + S.base_ctes(**E_WIN, prefix="e_") + "," + S.base_ctes(**L_WIN, prefix="l_")
             + "," + S.dim_ctes("e_top", "e_") + "," + S.dim_ctes("l_top", "l_"))
@@ -86,11 +85,6 @@ UPSERTED_DIMS = (f",\nu_dim_program AS ({_upserted_dim_sql('program_name', 'prog
                  f"\nu_dim_program_type AS ({_upserted_dim_sql('program_type', 'program_type_id')})")
 
 
-def _band_sql(col: str) -> str:
-    arms = " ".join(f"WHEN {col} <= CAST({b} AS DOUBLE) THEN '{lbl}'" for b, lbl in SELECTIVITY_BANDS)
-    return f"CASE WHEN {col} IS NULL THEN '{NOT_REPORTED}' {arms} ELSE '{ABOVE_BANDS}' END"
-
-
 def _upsert_sql(target: str, source: str) -> str:
     cols = []
     for c in FACT_COLUMNS:
@@ -113,7 +107,8 @@ def _school(spark, sf):
 
 
 def _university(spark, sf):
-    return L.full_load(spark, sf)
+    """Every school for measures that use no id: lazy, pruned by the measure."""
+    return L.filled_schools(spark, sf)
 
 
 def _land_standin(spark, sf, name="pages", run=None, empties=False):
@@ -208,7 +203,7 @@ _decode_direct("research_tier", "carnegie_basic", "research_output", codes.RESEA
 
 @query("project_fact", f"{BASE}, {S.dim_ctes()}, {S.fact_cte()} SELECT * FROM fact")
 def project_fact_q(spark, sf):
-    return L.fact(L.top(spark, sf))
+    return L.fact(L.stage(L.top(spark, sf), "top"))
 
 
 @query("profile_columns", f"{BASE} " + " UNION ALL ".join(
@@ -301,9 +296,9 @@ def dim_upsert_program_type(spark, sf):
     return L.upsert_dims(dp, dt, later)[1]
 
 
-@query("dim_bootstrap", f"{TWO_RUNS} SELECT 'dim_program' AS dimension, program_id AS id, program_name AS name"
-                        " FROM e_dim_program UNION ALL SELECT 'dim_program_type', program_type_id, program_type"
-                        " FROM e_dim_program_type")
+@query("dim_bootstrap", f"{BASE}, {S.dim_ctes()} SELECT 'dim_program' AS dimension, program_id AS id,"
+                        " program_name AS name FROM dim_program UNION ALL SELECT 'dim_program_type', program_type_id,"
+                        " program_type FROM dim_program_type")
 def dim_bootstrap(spark, sf):
     """``CREATE TABLE IF NOT EXISTS`` both dimensions, then the first load's upsert."""
     root = scratch_path(spark, "dims")
@@ -314,14 +309,17 @@ def dim_bootstrap(spark, sf):
         for _ in range(2):  # idempotent: the second statement is a no-op
             spark.sql(f"CREATE TABLE IF NOT EXISTS {names[dim]} ({id_col} INT, {value} VARCHAR(255))"
                       f" USING parquet LOCATION '{root}/{dim}'")
-    first = L.stage(L.top(spark, sf, "earlier"))
+    first = L.stage(L.top(spark, sf))
     for dim, (value, id_col, _) in (("dim_program", L.PROGRAM), ("dim_program_type", L.PROGRAM_TYPE)):
         stored = spark.table(names[dim])
         D.next_ids(stored, first, value, id_col).select(id_col, value).write.insertInto(names[dim])
     out = None
     for dim, (value, id_col, _) in (("dim_program", L.PROGRAM), ("dim_program_type", L.PROGRAM_TYPE)):
-        part = spark.table(names[dim]).select(F.lit(dim).alias("dimension"), F.col(id_col).alias("id"),
-                                              F.col(value).cast("string").alias("name"))
+        # the files stay readable; the catalog entry of this run goes
+        part = (spark.read.schema(spark.table(names[dim]).schema).parquet(f"{root}/{dim}")
+                .select(F.lit(dim).alias("dimension"), F.col(id_col).alias("id"),
+                        F.col(value).cast("string").alias("name")))
+        spark.sql(f"DROP TABLE {names[dim]}")
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -344,7 +342,7 @@ def check_dim_unique(spark, sf):
 @query("attach_program_id", f"{BASE}, {S.dim_ctes()} SELECT t.school_id, t.program_name, d.program_id"
                             " FROM top t LEFT JOIN dim_program d ON t.program_name = d.program_name")
 def attach_program_id(spark, sf):
-    t = L.top(spark, sf)
+    t = L.stage(L.top(spark, sf), "top")
     dp, dt = L.frame_dims(t)
     return L.with_ids(t, dp, dt).select("school_id", "program_name", "program_id")
 
@@ -352,7 +350,7 @@ def attach_program_id(spark, sf):
 @query("attach_program_type_id", f"{BASE}, {S.dim_ctes()} SELECT t.school_id, t.program_type, d.program_type_id"
                                  " FROM top t LEFT JOIN dim_program_type d ON t.program_type = d.program_type")
 def attach_program_type_id(spark, sf):
-    t = L.top(spark, sf)
+    t = L.stage(L.top(spark, sf), "top")
     dp, dt = L.frame_dims(t)
     return L.with_ids(t, dp, dt).select("school_id", "program_type", "program_type_id")
 
@@ -368,7 +366,7 @@ def _refresh(spark, sf, which):
     local_p, local_t = L.frame_dims(later)
     staged = L.with_ids(later, local_p, local_t)
     value, id_col, _ = (L.PROGRAM, L.PROGRAM_TYPE)[which]
-    up, ut = L.upsert_dims(dp, dt, later)
+    up, ut = (L.stage(d, "dim") for d in L.upsert_dims(dp, dt, later))
     refreshed = L.refresh_ids(staged.withColumnRenamed(id_col, f"local_{id_col}"), up, ut)
     return refreshed.select("school_id", value, f"local_{id_col}", id_col)
 
@@ -393,15 +391,15 @@ FULL_TWO = "WITH " + S.full_load_ctes(**E_WIN, prefix="e_") + "," + S.full_load_
 def fact_upsert(spark, sf):
     """Whole-table upsert into a stored fact bucketed by key: the stored side is not shuffled."""
     stored = store_bucketed(L.full_load(spark, sf, "earlier"), "university", "school_id")
-    return upsert(stored, L.full_load(spark, sf, "later"), "school_id")
+    return upsert(stored, L.full_load(spark, sf, "later"), "school_id").select(*FACT_COLUMNS)
 
 
-@query("check_source_unique", f"{FULL_TWO} SELECT CAST(sum(n) AS BIGINT) AS rows, count(school_id) AS distinct_keys,"
+@query("check_source_unique", f"{ALL_FACT} SELECT CAST(sum(n) AS BIGINT) AS rows, count(school_id) AS distinct_keys,"
                               " count(*) FILTER (WHERE school_id IS NOT NULL AND n > 1) AS repeated_keys,"
                               " CAST(coalesce(sum(n) FILTER (WHERE school_id IS NULL), 0) AS BIGINT) AS null_key_rows"
-                              " FROM (SELECT school_id, count(*) AS n FROM l_university GROUP BY school_id)")
+                              " FROM (SELECT school_id, count(*) AS n FROM university GROUP BY school_id)")
 def check_source_unique_q(spark, sf):
-    return check_source_unique(L.full_load(spark, sf, "later"), "school_id")
+    return check_source_unique(L.filled_schools(spark, sf), "school_id")
 
 
 STAGED = (f",\nstaged AS (SELECT " + ", ".join(
@@ -417,18 +415,13 @@ def load_university(spark, sf):
     return L.load_university(spark, sf)
 
 
-@query("empty_clone", f"{BASE}, {S.dim_ctes()}, {S.fact_cte()} SELECT * FROM fact WHERE 1 = 0")
-def empty_clone(spark, sf):
-    return L.fact(L.top(spark, sf)).where(F.lit(False))
-
-
 @query("bulk_append", f"{BASE}, {S.dim_ctes()}, {S.fact_cte()} SELECT * FROM fact")
 def bulk_append(spark, sf):
     """Stage the fact rows: an empty clone of the schema, then an append."""
     path = scratch_path(spark, "staging_university")
-    staged = L.fact(L.top(spark, sf))
-    staged.where(F.lit(False)).write.parquet(path)
-    staged.write.mode("append").parquet(path)
+    staged = L.fact(L.stage(L.top(spark, sf), "top"))
+    append_rows(staged.where(F.lit(False)), path)
+    append_rows(staged, path)
     return spark.read.schema(staged.schema).parquet(path)
 
 
@@ -447,7 +440,7 @@ def stage_roundtrip(spark, sf):
 @query("slice_state_type", f"{ALL_FACT} SELECT * FROM university WHERE state IN ({_list_sql(SLICE_STATES)})"
                            f" AND school_type IN ({_list_sql(SLICE_TYPES)})")
 def slice_state_type(spark, sf):
-    return DB.slice_facts(_university(spark, sf), SLICE_STATES, SLICE_TYPES)
+    return DB.slice_facts(L.full_load(spark, sf), SLICE_STATES, SLICE_TYPES).select(*FACT_COLUMNS)
 
 
 @query("avg_excluding_zero", f"{ALL_FACT} SELECT state, round(avg(nullif(average_sat_score, 0)), 6)"
@@ -474,14 +467,12 @@ def not_reported_display(spark, sf):
     return DB.not_reported_display(_university(spark, sf))
 
 
-@query("selectivity_band", f"{ALL_FACT} SELECT school_id, admission_rate, {_band_sql('admission_rate')}"
-                           " AS selectivity FROM university")
+@query("selectivity_band", f"{ALL_FACT} SELECT school_id, admission_rate, selectivity FROM rates")
 def selectivity_band(spark, sf):
     return DB.retention_points(_university(spark, sf)).select("school_id", "admission_rate", "selectivity")
 
 
-@query("retention_points", f"{ALL_FACT} SELECT school_id, admission_rate, retention_rate,"
-                           f" {_band_sql('admission_rate')} AS selectivity FROM university")
+@query("retention_points", f"{ALL_FACT} SELECT school_id, admission_rate, retention_rate, selectivity FROM rates")
 def retention_points(spark, sf):
     return DB.retention_points(_university(spark, sf))
 
@@ -513,28 +504,27 @@ def graduation_by_type(spark, sf):
     return DB.graduation_by_type(_university(spark, sf))
 
 
-@query("retention_vs_selectivity", f"{ALL_FACT} SELECT {_band_sql('admission_rate')} AS selectivity,"
+@query("retention_vs_selectivity", f"{ALL_FACT} SELECT selectivity,"
                                    " round(avg(nullif(retention_rate, 0)), 6) AS avg_retention_rate,"
-                                   " round(avg(admission_rate), 6) AS avg_admission_rate, count(*) AS schools"
-                                   " FROM university GROUP BY 1")
+                                   " round(avg(reported_rate), 6) AS avg_admission_rate, count(*) AS schools"
+                                   " FROM rates GROUP BY 1")
 def retention_vs_selectivity(spark, sf):
     return DB.retention_vs_selectivity(_university(spark, sf))
 
 
 @query("selectivity_distribution", f"{ALL_FACT} SELECT selectivity, schools,"
                                    " round(CAST(schools AS DOUBLE) / sum(schools) OVER (), 6) AS share FROM ("
-                                   f"SELECT {_band_sql('admission_rate')} AS selectivity, count(*) AS schools"
-                                   " FROM university GROUP BY 1)")
+                                   "SELECT selectivity, count(*) AS schools FROM rates GROUP BY 1)")
 def selectivity_distribution(spark, sf):
     return DB.selectivity_distribution(_university(spark, sf))
 
 
-@query("admission_summary", f"{ALL_FACT} SELECT {_band_sql('admission_rate')} AS selectivity, count(*) AS schools,"
+@query("admission_summary", f"{ALL_FACT} SELECT selectivity, count(*) AS schools,"
                             " round(avg(nullif(average_sat_score, 0)), 6) AS avg_sat,"
                             " min(nullif(average_sat_score, 0)) AS min_sat, max(nullif(average_sat_score, 0)) AS max_sat,"
-                            " round(avg(admission_rate), 6) AS avg_admission_rate,"
-                            " min(admission_rate) AS min_admission_rate, max(admission_rate) AS max_admission_rate"
-                            " FROM university GROUP BY 1")
+                            " round(avg(reported_rate), 6) AS avg_admission_rate,"
+                            " min(reported_rate) AS min_admission_rate, max(reported_rate) AS max_admission_rate"
+                            " FROM rates GROUP BY 1")
 def admission_summary(spark, sf):
     return DB.admission_summary(_university(spark, sf))
 
@@ -542,7 +532,7 @@ def admission_summary(spark, sf):
 @query("card_total_programs", f"{ALL_FACT} SELECT count(DISTINCT program_id) AS total_programs,"
                               " count(DISTINCT program_type_id) AS total_program_types FROM university")
 def card_total_programs(spark, sf):
-    return DB.card_total_programs(_university(spark, sf))
+    return DB.card_total_programs(L.full_load_tables(spark, sf, columns=["school_id"])[0])
 
 
 @query("schools_by_program", f"{ALL_FACT} SELECT u.program_id, d.program_name, count(*) AS schools,"
@@ -550,21 +540,21 @@ def card_total_programs(spark, sf):
                              " FROM university u LEFT JOIN dim_program d ON u.program_id = d.program_id"
                              " GROUP BY u.program_id, d.program_name")
 def schools_by_program(spark, sf):
-    fact, dim_program, _ = L.full_load_tables(spark, sf)
+    fact, dim_program, _ = L.full_load_tables(spark, sf, columns=["in_state_tuition"])
     return DB.schools_by_program(fact, dim_program)
 
 
 @query("card_avg_credit_hours", f"WITH {COURSE_CTE} SELECT round(avg(nullif(CAST(credit_hours AS DOUBLE), 0)), 6)"
                                 " AS avg_credit_hours, count(*) AS courses FROM course")
 def card_avg_credit_hours(spark, sf):
-    return DB.card_avg_credit_hours(course(spark, sf))
+    return DB.card_avg_credit_hours(course_counts(spark, sf))
 
 
 @query("top_departments", f"WITH {COURSE_CTE} SELECT department, count(*) AS courses,"
                           " CAST(row_number() OVER (ORDER BY count(*) DESC, department) AS INTEGER) AS position"
                           " FROM course GROUP BY department ORDER BY courses DESC, department LIMIT 10")
 def top_departments(spark, sf):
-    return DB.top_departments(course(spark, sf))
+    return DB.top_departments(course_counts(spark, sf))
 
 
 @query("levels_by_type", f"{ALL_FACT}, {COURSE_CTE} SELECT u.school_type, c.program_level,"
@@ -654,4 +644,4 @@ def incremental_upsert(spark, sf):
     for run in ("earlier", "later"):
         PG.land_pages(school_raw(spark, sf, **L.run_window(run)), f"{landing}/run={run}")
         tables = run_available(spark, landing, state, ckpt, ["run"])
-    return tables.current("university")
+    return tables.current("university").select(*FACT_COLUMNS)

@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from campuslens.functions.measures import (avg_excluding_zero, display_percent,
-                                           display_whole, rounded, selectivity_band,
-                                           zero_as_null)
+                                           display_whole, reported_rate, rounded,
+                                           selectivity_band, zero_as_null)
 from campuslens.functions.ids import small_row_number
+from campuslens.functions.joins import CHECKED_BOUND, broadcast_if_bounded
 
 METRICS = [
     "admission_rate", "in_state_tuition", "out_of_state_tuition",
@@ -42,7 +43,8 @@ def slice_facts(fact: DataFrame, states: list[str] | None = None,
 
 
 def with_band(fact: DataFrame) -> DataFrame:
-    return fact.withColumn("selectivity", selectivity_band(F.col("admission_rate")))
+    rate = reported_rate(fact)
+    return fact.withColumn("selectivity", selectivity_band(rate)).withColumn("reported_rate", rate)
 
 
 def card_total_schools(fact: DataFrame) -> DataFrame:
@@ -72,13 +74,13 @@ def avg_excluding_zero_by_state(fact: DataFrame, metric: str = "average_sat_scor
 def retention_vs_selectivity(fact: DataFrame) -> DataFrame:
     return with_band(fact).groupBy("selectivity").agg(
         rounded(avg_excluding_zero(F.col("retention_rate"))).alias("avg_retention_rate"),
-        rounded(F.avg("admission_rate")).alias("avg_admission_rate"),
+        rounded(F.avg("reported_rate")).alias("avg_admission_rate"),
         F.count(F.lit(1)).alias("schools"))
 
 
 def retention_points(fact: DataFrame) -> DataFrame:
     return fact.select("school_id", "admission_rate", "retention_rate",
-                       selectivity_band(F.col("admission_rate")).alias("selectivity"))
+                       selectivity_band(reported_rate(fact)).alias("selectivity"))
 
 
 def selectivity_distribution(fact: DataFrame) -> DataFrame:
@@ -95,9 +97,9 @@ def admission_summary(fact: DataFrame) -> DataFrame:
         rounded(F.avg(sat)).alias("avg_sat"),
         F.min(sat).alias("min_sat"),
         F.max(sat).alias("max_sat"),
-        rounded(F.avg("admission_rate")).alias("avg_admission_rate"),
-        F.min("admission_rate").alias("min_admission_rate"),
-        F.max("admission_rate").alias("max_admission_rate"))
+        rounded(F.avg("reported_rate")).alias("avg_admission_rate"),
+        F.min("reported_rate").alias("min_admission_rate"),
+        F.max("reported_rate").alias("max_admission_rate"))
 
 
 def card_total_programs(fact: DataFrame) -> DataFrame:
@@ -110,24 +112,29 @@ def schools_by_program(fact: DataFrame, dim_program: DataFrame) -> DataFrame:
 
     The fact carries only ``program_id``; the name comes from the program
     dimension. Aggregating first (per id) and then looking names up joins
-    the bounded dimension to at most one row per program, not to every fact.
+    the dimension (broadcast if its counted rows allow it) to at most one row
+    per program, not to every fact.
     """
     per_id = fact.groupBy("program_id").agg(
         F.count(F.lit(1)).alias("schools"),
         rounded(avg_excluding_zero(F.col("in_state_tuition"))).alias("avg_in_state_tuition"))
-    return per_id.join(F.broadcast(dim_program), "program_id", "left").select(
+    return per_id.join(broadcast_if_bounded(dim_program, CHECKED_BOUND), "program_id", "left").select(
         "program_id", "program_name", "schools", "avg_in_state_tuition")
 
 
 def card_avg_credit_hours(courses: DataFrame) -> DataFrame:
+    """Average over courses; ``n``, where present, says how many a row stands for."""
+    n = F.col("n") if "n" in courses.columns else F.lit(1)
+    hours = zero_as_null(F.col("credit_hours").cast("double"))
     return courses.agg(
-        rounded(avg_excluding_zero(F.col("credit_hours").cast("double"))).alias("avg_credit_hours"),
-        F.count(F.lit(1)).alias("courses"))
+        rounded(F.sum(hours * n) / F.sum(F.when(hours.isNotNull(), n))).alias("avg_credit_hours"),
+        F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("courses"))
 
 
 def top_departments(courses: DataFrame, n: int = 10) -> DataFrame:
     """Departments with the most courses; the limit is the report."""
-    counts = courses.groupBy("department").agg(F.count(F.lit(1)).alias("courses"))
+    weight = F.col("n") if "n" in courses.columns else F.lit(1)
+    counts = courses.groupBy("department").agg(F.sum(weight).cast("long").alias("courses"))
     order = [F.col("courses").desc(), F.col("department").asc()]
     return counts.orderBy(*order).limit(n).withColumn("position", small_row_number(order))
 

@@ -17,9 +17,9 @@ from campuslens.functions import codes
 from campuslens.functions.joins import attach_id
 from campuslens.operators import dims as D
 from campuslens.operators.decode import decode, project_fact
-from campuslens.operators.fill import fill_missing
+from campuslens.operators.fill import fill_missing, flag_reported
 from campuslens.operators.rank import TOP_K, rank_key, ranked_top_k
-from campuslens.operators.upsert import upsert
+from campuslens.operators.upsert import assert_source_unique, upsert
 from campuslens.session import session_key, stage  # noqa: F401  (callers use L.stage)
 from campuslens.sources.standin import EARLIER_RUN, LATER_RUN, school_raw
 
@@ -31,7 +31,7 @@ def run_window(run: str | None) -> dict:
     if run is None:
         return {}
     since, until = {"earlier": EARLIER_RUN, "later": LATER_RUN}[run]
-    return {"since": since, "until": until, "reported_only": True}
+    return {"since": since, "until": until, "reported_only": True, "old_codes": run == "earlier"}
 
 
 _DECODED: dict = {}
@@ -48,9 +48,13 @@ def school(spark: SparkSession, sf_dir: str, run: str | None = None) -> DataFram
     return _DECODED[key]
 
 
-def transform(records: DataFrame, k: int = TOP_K) -> DataFrame:
-    """Top-k in rank order with rank numbers, then the fills (after the cut)."""
-    return fill_missing(ranked_top_k(records, k))
+def transform(records: DataFrame, k: int = TOP_K, flag: bool = False) -> DataFrame:
+    """Top-k in rank order with rank numbers, then the fills (after the cut).
+
+    ``flag`` keeps whether the admission rate was reported, for the measures.
+    """
+    ranked = ranked_top_k(records, k)
+    return fill_missing(flag_reported(ranked) if flag else ranked)
 
 
 def top(spark: SparkSession, sf_dir: str, run: str | None = None, k: int = TOP_K) -> DataFrame:
@@ -65,7 +69,11 @@ def frame_dims(df: DataFrame, order_col: str = "rank") -> tuple[DataFrame, DataF
 
 def with_ids(df: DataFrame, dim_program: DataFrame, dim_program_type: DataFrame,
              proven: bool = True) -> DataFrame:
-    """Attach both ids by name (broadcast: dimensions are label-bounded)."""
+    """Attach both ids by name.
+
+    Dimensions built from decoded labels (``proven``) are bounded by the code
+    tables and broadcast; stored ones are counted first.
+    """
     out = attach_id(df, dim_program, PROGRAM[0], PROGRAM[1], PROGRAM[2] if proven else None)
     return attach_id(out, dim_program_type, PROGRAM_TYPE[0], PROGRAM_TYPE[1],
                      PROGRAM_TYPE[2] if proven else None)
@@ -77,13 +85,29 @@ def fact(top_df: DataFrame) -> DataFrame:
     return project_fact(with_ids(top_df, dp, dt))
 
 
-def full_load_tables(spark: SparkSession, sf_dir: str, run: str | None = None):
-    """``university`` rows for every school of a run (no cut) and its dimensions."""
+def filled_schools(spark: SparkSession, sf_dir: str, run: str | None = None) -> DataFrame:
+    """Every school of a run, filled, with the reported flag and without ids.
+
+    Lazy, so a measure reads from the source only the columns it needs.
+    """
+    return fill_missing(flag_reported(school(spark, sf_dir, run)))
+
+
+def full_load_tables(spark: SparkSession, sf_dir: str, run: str | None = None,
+                     columns: list[str] | None = None):
+    """``university`` rows for every school of a run (no cut) and its dimensions.
+
+    ``columns`` restricts the fact to those and the ids; only they are staged.
+    """
+    rows = school(spark, sf_dir, run).withColumn("_rank_key", rank_key())
     # Staged once: the dimensions and the fact rows both read it.
-    records = stage(school(spark, sf_dir, run).withColumn("_rank_key", rank_key()))
-    filled = fill_missing(records)
+    if columns is None:
+        filled = fill_missing(flag_reported(stage(rows)))
+    else:
+        filled = stage(fill_missing(flag_reported(rows)).select(*columns, PROGRAM[0], PROGRAM_TYPE[0], "_rank_key"))
     dp, dt = frame_dims(filled, "_rank_key")
-    return project_fact(with_ids(filled, dp, dt)), dp, dt
+    rows = with_ids(filled, dp, dt)
+    return (project_fact(rows) if columns is None else rows.select(*columns, PROGRAM[1], PROGRAM_TYPE[1])), dp, dt
 
 
 def full_load(spark: SparkSession, sf_dir: str, run: str | None = None) -> DataFrame:
@@ -100,33 +124,32 @@ def upsert_dims(stored_program: DataFrame, stored_type: DataFrame,
 def refresh_ids(staged: DataFrame, dim_program: DataFrame, dim_program_type: DataFrame) -> DataFrame:
     """Replace frame-local ids by the stored dimension ids, looked up by name."""
     names = staged.drop(PROGRAM[1], PROGRAM_TYPE[1])
-    return with_ids(names, dim_program, dim_program_type)
+    return with_ids(names, dim_program, dim_program_type, proven=False)
 
 
 def load(stored_fact: DataFrame, stored_program: DataFrame, stored_type: DataFrame,
          top_df: DataFrame, persist=None, k: int = TOP_K) -> tuple[DataFrame, DataFrame, DataFrame]:
     """One load: upsert the dimensions, then upsert the fact with their ids.
 
-    ``persist(df, name)``, when given, stores an upserted dimension and
-    returns it read back, so the fact takes its ids from the stored copy
-    (the incremental job writes its table versions this way). Without it
-    the dimensions stay lazy: they derive from a staged top-k of at most k
-    rows, so re-deriving them in each branch is bounded work and cheaper
-    than extra writes.
+    ``persist(df, name)`` stores an upserted dimension and returns it read
+    back, so the fact takes its ids from the stored copy (the incremental
+    job writes its table versions this way; the default stages it).
+    ``top_df`` must hold each school once; a repeat would duplicate its fact.
     """
+    assert_source_unique(top_df, "school_id")
     dp, dt = upsert_dims(stored_program, stored_type, top_df)
-    if persist is not None:
-        dp, dt = persist(dp, "dim_program"), persist(dt, "dim_program_type")
-    staged = project_fact(with_ids(top_df, dp, dt))
+    persist = persist or stage
+    dp, dt = persist(dp, "dim_program"), persist(dt, "dim_program_type")
+    staged = project_fact(with_ids(top_df, dp, dt, proven=False))
     # The staged rows come from a top-k: at most k rows, a proven bound, so
-    # the stored fact is filtered by a broadcast anti join, never shuffled.
+    # the stored fact is filtered by a broadcast anti join, not shuffled.
     return upsert(stored_fact, staged, "school_id", source_rows_bound=k), dp, dt
 
 
 def two_run_state(spark: SparkSession, sf_dir: str, k: int = TOP_K):
     """Stored state after the earlier run, and the later run's top-k."""
     first = stage(top(spark, sf_dir, "earlier", k), "top")
-    dp, dt = frame_dims(first)
+    dp, dt = (stage(d, "dim") for d in frame_dims(first))
     stored = project_fact(with_ids(first, dp, dt))
     return stored, dp, dt, stage(top(spark, sf_dir, "later", k), "top")
 

@@ -27,7 +27,7 @@ def case_lookup(col: str, table: dict, default) -> str:
 
 
 def school_raw_sql(since: str | None = None, until: str | None = None,
-                   reported_only: bool = False) -> str:
+                   reported_only: bool = False, old_codes: bool = False) -> str:
     """SELECT of the raw school records (codes) over the driver tables."""
     where = []
     if since:
@@ -36,6 +36,9 @@ def school_raw_sql(since: str | None = None, until: str | None = None,
         where.append(f"o_orderdate < TIMESTAMP '{until} 00:00:00'")
     where_sql = ("WHERE " + " AND ".join(where)) if where else ""
     join = "JOIN" if reported_only else "LEFT JOIN"
+    # the older classifications end at 17 and 6
+    basic = "CASE WHEN c.c_custkey % 37 - 2 <= 17 THEN c.c_custkey % 37 - 2 END" if old_codes else "c.c_custkey % 37 - 2"
+    undergrad = "CASE WHEN c.c_custkey % 18 - 1 <= 6 THEN c.c_custkey % 18 - 1 END" if old_codes else "c.c_custkey % 18 - 1"
     return f"""
 SELECT c.c_custkey AS school_id,
        c.c_name AS name,
@@ -45,8 +48,8 @@ SELECT c.c_custkey AS school_id,
        'http://school.example/' || CAST(c.c_custkey AS VARCHAR) AS school_url,
        CASE WHEN c.c_custkey % 4 = 0 THEN NULL
             ELSE 'http://calc.example/' || CAST(c.c_custkey AS VARCHAR) END AS price_calculator,
-       CAST(c.c_custkey % 37 - 2 AS INTEGER) AS carnegie_basic,
-       CAST(c.c_custkey % 18 - 1 AS INTEGER) AS carnegie_undergrad,
+       CAST({basic} AS INTEGER) AS carnegie_basic,
+       CAST({undergrad} AS INTEGER) AS carnegie_undergrad,
        CAST(c.c_custkey % 4 AS INTEGER) AS level,
        CASE WHEN c.c_custkey % 9 = 0 THEN CAST(0.1 AS DOUBLE)
             WHEN c.c_custkey % 9 = 1 THEN CAST(0.05 AS DOUBLE)
@@ -126,7 +129,7 @@ def fill_sql(rel: str, extra: list[str] | None = None) -> str:
     return f"SELECT {', '.join(cols)} FROM {rel}"
 
 
-def base_ctes(since=None, until=None, reported_only=False, k: int = TOP_K, prefix: str = "",
+def base_ctes(since=None, until=None, reported_only=False, old_codes=False, k: int = TOP_K, prefix: str = "",
               school_where: str | None = None) -> str:
     """CTEs: raw records, decoded records, ranked top-k, filled top-k.
 
@@ -138,7 +141,7 @@ def base_ctes(since=None, until=None, reported_only=False, k: int = TOP_K, prefi
     if school_where:
         school = f"SELECT * FROM ({school}) WHERE {school_where}"
     return f"""
-{p}school_raw AS ({school_raw_sql(since, until, reported_only)}),
+{p}school_raw AS ({school_raw_sql(since, until, reported_only, old_codes)}),
 {p}school AS ({school}),
 {p}ranked AS (
     SELECT * FROM (
@@ -173,14 +176,20 @@ def fact_cte(src: str = "top", prefix: str = "", name: str = "fact") -> str:
     LEFT JOIN {p}dim_program_type dt ON t.program_type = dt.program_type)"""
 
 
-def full_load_ctes(since=None, until=None, reported_only=False, prefix: str = "") -> str:
+def full_load_ctes(since=None, until=None, reported_only=False, old_codes=False, prefix: str = "") -> str:
     """Fact over every school (no cut): decode, rank position, fill, dims, ids."""
     p = prefix
     return f"""
-{p}school_raw AS ({school_raw_sql(since, until, reported_only)}),
+{p}school_raw AS ({school_raw_sql(since, until, reported_only, old_codes)}),
 {p}school AS ({school_sql(p + 'school_raw')}),
 {p}positioned AS (
     SELECT *, row_number() OVER (ORDER BY {order_by_sql()}) AS rank FROM {p}school),
-{p}filled AS ({fill_sql(p + 'positioned', ['rank'])}),
+{p}filled AS ({fill_sql(p + 'positioned', ['rank', 'nullif(admission_rate, 0) AS reported_rate'])}),
 {dim_ctes(p + 'filled', p)},
-{fact_cte(p + 'filled', p, 'university')}"""
+{fact_cte(p + 'filled', p, 'university')},
+{p}rates AS (
+    SELECT school_id, admission_rate, retention_rate, average_sat_score, reported_rate,
+           CASE WHEN reported_rate IS NULL THEN 'Not Reported' WHEN reported_rate <= 0.1 THEN 'Highly Selective'
+                WHEN reported_rate <= 0.25 THEN 'Very Selective' WHEN reported_rate <= 0.5 THEN 'Selective'
+                WHEN reported_rate <= 0.75 THEN 'Less Selective' ELSE 'Open' END AS selectivity
+    FROM {p}filled)"""

@@ -60,7 +60,9 @@ FACT_COLUMNS = [
 # ---------------------------------------------------------------------------
 
 RAW_COLUMNS = [plain for _, plain, _ in API_FIELDS]
-METRIC_COLUMNS = [plain for _, plain, t in API_FIELDS if isinstance(t, T.DoubleType)]
+# Internal flag beside the fact: whether the admission rate was reported (a
+# missing one is stored as 1, which is also a true value).
+REPORTED = "admission_reported"
 
 RECORD_SCHEMA = T.StructType([T.StructField(key, dtype, True) for key, _, dtype in API_FIELDS])
 PAGE_SCHEMA = T.StructType([T.StructField("results", T.ArrayType(RECORD_SCHEMA), True)])
@@ -73,6 +75,8 @@ FACT_SCHEMA = T.StructType([
     T.StructField(c, _FACT_TYPES.get(c, T.StringType() if c in _STRING_FACT else T.DoubleType()), True)
     for c in FACT_COLUMNS])
 
+STORED_FACT_SCHEMA = T.StructType([*FACT_SCHEMA.fields, T.StructField(REPORTED, T.BooleanType(), True)])
+
 DIM_PROGRAM_SCHEMA = T.StructType([
     T.StructField("program_id", T.IntegerType(), False),
     T.StructField("program_name", T.StringType(), False),

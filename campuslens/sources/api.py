@@ -6,23 +6,29 @@ single worker. Each row is one page: ``page`` and its ``results`` array, the
 same shape as a landed page line, so ``pages.read_pages`` logic (posexplode,
 flatten, decode) applies unchanged.
 
-The page range must be known up front for a parallel read: give ``pages``
-(the number of pages), or let the reader take ``metadata.total`` from the
-first page (one request on the driver). The reference's sequential rule
-"stop at the first empty page" gives the same rows as long as no page in
-the middle of the range is empty.
+Every page is read, whatever is known up front. The number of pages
+(``pages``, or ``metadata.total`` of the first page: one or two requests on
+the driver) only deals the pages to partitions; the last partition reads on
+until a page is empty or absent, so a stale number loses nothing. Without
+either, one partition reads until then. Pages may be numbered from 0 or 1:
+page 0 is tried first, unless ``first_page`` says where to start.
 
 Options: ``url`` (template containing ``{page}``; any scheme ``urllib``
-opens, ``file://`` included), ``pages``, ``first_page`` (default 1),
-``pages_per_partition`` (default 1), ``fields`` (comma list of API keys,
-default all), ``timeout``, ``retries``, ``backoff``.
+opens, ``file://`` included), ``fields`` (comma list of API keys, default
+all), ``per_page``, ``api_key``, ``pages``, ``first_page``,
+``pages_per_partition`` (default 1), ``timeout``, ``retries``, ``backoff``.
+Fields, page size and key are part of the request: they fill the template's
+``{fields}``, ``{per_page}`` and ``{api_key}``, and those that an http
+template does not mention are added as query parameters.
 """
 
 from __future__ import annotations
 
+import http.client
 import json
 import time
 import urllib.error
+import urllib.parse
 import urllib.request
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -40,6 +46,13 @@ RETRY_STATUSES = (429, 500, 502, 503, 504)
 # ---------------------------------------------------------------------------
 
 
+def is_absent(err: Exception) -> bool:
+    """Whether a request failed because there is no such page."""
+    if isinstance(err, urllib.error.HTTPError):
+        return err.code == 404
+    return isinstance(getattr(err, "reason", None), FileNotFoundError)
+
+
 def fetch_json(url: str, timeout: float = TIMEOUT_SECONDS, retries: int = RETRIES,
                backoff: float = BACKOFF_FACTOR) -> dict:
     """GET one page; retry transient failures with exponential back-off."""
@@ -51,50 +64,94 @@ def fetch_json(url: str, timeout: float = TIMEOUT_SECONDS, retries: int = RETRIE
         except urllib.error.HTTPError as err:
             if err.code not in RETRY_STATUSES or attempt >= retries:
                 raise
-        except urllib.error.URLError:
-            if attempt >= retries:
+        except (OSError, http.client.HTTPException) as err:
+            # no connection, a timeout, or a connection that broke in the body
+            if attempt >= retries or is_absent(err):
                 raise
         attempt += 1
         time.sleep(backoff * 2 ** (attempt - 1))
 
 
 class PageRange(InputPartition):
-    def __init__(self, first: int, last: int):
-        super().__init__((first, last))
-        self.first, self.last = first, last
+    """Pages first..last; the range that ``reads_on`` goes past its last page."""
+
+    def __init__(self, first: int, last: int, reads_on: bool):
+        super().__init__((first, last, reads_on))
+        self.first, self.last, self.reads_on = first, last, reads_on
 
 
 class SchoolPagesReader(DataSourceReader):
     def __init__(self, options: dict, fields: list[str]):
         self.url = options["url"]
-        self.first = int(options.get("first_page", 1))
+        self.per_page = int(options.get("per_page", PER_PAGE))
+        self.api_key = options.get("api_key")
         self.per_partition = int(options.get("pages_per_partition", 1))
         self.timeout = float(options.get("timeout", TIMEOUT_SECONDS))
         self.retries = int(options.get("retries", RETRIES))
         self.backoff = float(options.get("backoff", BACKOFF_FACTOR))
         self.fields = fields
-        pages = options.get("pages")
-        self.pages = int(pages) if pages is not None else self._discover_pages()
+        first, pages = options.get("first_page"), options.get("pages")
+        self.first, head = (int(first), None) if first is not None else self._base()
+        self.total = self._total(head)
+        if pages is not None:
+            self.pages = int(pages)
+        else:
+            self.pages = -(-self.total // int(self._meta.get("per_page") or self.per_page)) if self.total is not None else 0
+
+    def page_url(self, page: int) -> str:
+        values = {"page": page, "fields": ",".join(self.fields), "per_page": self.per_page,
+                  "api_key": self.api_key or ""}
+        url = self.url.format(**values)
+        if urllib.parse.urlsplit(url).scheme not in ("http", "https"):
+            return url
+        more = {k: v for k, v in values.items() if "{" + k + "}" not in self.url and v != ""}
+        return url + ("&" if "?" in url else "?") + urllib.parse.urlencode(more) if more else url
 
     def _get(self, page: int) -> dict:
-        return fetch_json(self.url.format(page=page), self.timeout, self.retries, self.backoff)
+        return fetch_json(self.page_url(page), self.timeout, self.retries, self.backoff)
 
-    def _discover_pages(self) -> int:
-        meta = self._get(self.first).get("metadata") or {}
-        total, per_page = meta.get("total"), meta.get("per_page", PER_PAGE)
-        if total is None:
-            raise ValueError("option 'pages' is required when the first page has no metadata.total")
-        return -(-int(total) // int(per_page))
+    def _base(self) -> tuple[int, dict | None]:
+        """The number of the first page, and that page if it was fetched."""
+        try:
+            head = self._get(0)
+        except (OSError, http.client.HTTPException) as err:
+            if not is_absent(err):
+                raise
+            return 1, None
+        if not head.get("results") or (head.get("metadata") or {}).get("page") == 1:
+            return 1, None
+        return 0, head
+
+    def _total(self, head: dict | None) -> int | None:
+        if head is None:
+            try:
+                head = self._get(self.first)
+            except (OSError, http.client.HTTPException) as err:
+                if not is_absent(err):
+                    raise
+                return None
+        self._meta = head.get("metadata") or {}
+        return int(self._meta["total"]) if self._meta.get("total") is not None else None
 
     def partitions(self):
-        last = self.first + self.pages - 1
-        return [PageRange(p, min(p + self.per_partition - 1, last))
+        last = self.first + max(self.pages, 1) - 1
+        return [PageRange(p, min(p + self.per_partition - 1, last), p + self.per_partition > last)
                 for p in range(self.first, last + 1, self.per_partition)]
 
     def read(self, partition: PageRange):
-        for page in range(partition.first, partition.last + 1):
-            results = self._get(page).get("results") or []
+        page = partition.first
+        while page <= partition.last or partition.reads_on:
+            beyond = page > partition.last or self.pages == 0
+            try:
+                results = self._get(page).get("results") or []
+            except (OSError, http.client.HTTPException) as err:
+                if beyond and is_absent(err):
+                    return
+                raise
+            if beyond and not results:
+                return
             yield (page, [tuple(rec.get(k) for k in self.fields) for rec in results])
+            page += 1
 
 
 class SchoolPagesDataSource(DataSource):
@@ -122,13 +179,35 @@ def register(spark) -> None:
     spark.dataSource.register(SchoolPagesDataSource)
 
 
+def _reader(spark, url: str, options: dict):
+    register(spark)
+    reader = spark.read.format("school_pages").option("url", url)
+    for key, value in options.items():
+        reader = reader.option(key, str(value))
+    return reader
+
+
 def read_api(spark, url: str, **options):
     """Raw school records fetched page-parallel from ``url`` (a ``{page}`` template)."""
     from campuslens.operators.decode import flatten_record
     from campuslens.sources.pages import unnest_pages
 
-    register(spark)
-    reader = spark.read.format("school_pages").option("url", url)
-    for key, value in options.items():
-        reader = reader.option(key, str(value))
-    return flatten_record(unnest_pages(reader.load()))
+    return flatten_record(unnest_pages(_reader(spark, url, options).load()))
+
+
+def land_api(spark, url: str, path: str, **options) -> int:
+    """Fetch every page and land it as it came: one JSON line a page, no shuffle.
+
+    Returns the records landed; fewer than the API's own total is an error.
+    """
+    from pyspark.sql import functions as F
+
+    pages = _reader(spark, url, options).load()
+    pages.write.json(path)
+    landed = spark.read.schema(pages.schema).json(path).agg(
+        F.coalesce(F.sum(F.size("results")), F.lit(0)).alias("n")).first()["n"]
+    total = SchoolPagesReader({"url": url, **{k: str(v) for k, v in options.items()}},
+                              SchoolPagesDataSource({"fields": options.get("fields", "")})._fields()).total
+    if total is not None and landed < total:
+        raise ValueError(f"landed {landed} records of {total}")
+    return landed

@@ -13,7 +13,7 @@ contributes no rows. The scan is split-parallel: pages are read
 concurrently, not one after another.
 
 Landing (used to materialise test inputs) groups records by page. A page
-holds at most ``PAGE_SIZE`` records by construction, so collecting one
+holds at most the API's page size (100 records), so collecting one
 page's records into an array is bounded.
 """
 
@@ -25,10 +25,6 @@ from pyspark.sql import functions as F
 from campuslens.operators.decode import flatten_record
 from campuslens.schemas import API_FIELDS, page_schema
 
-# Fixed value: records per API page.
-PAGE_SIZE = 100
-
-
 def to_api_record(raw: DataFrame) -> DataFrame:
     """Plain-named raw records -> one struct column with the dotted API keys."""
     record = F.struct(*[F.col(plain).alias(key) for key, plain, _ in API_FIELDS])

@@ -21,11 +21,13 @@ from pyspark.sql import functions as F
 
 from campuslens.session import session_key, table
 
-# Order-date windows of the two loads used by upsert tests: an earlier run
-# over 1995-1996 and a later run from 1999 on. Customers with no order in a
-# window are not reported by that run.
+# Two loads: orders before 1997 and from 1997 on, so that together they read
+# every order. Customers with no order in a window are not reported by that
+# run. The earlier run comes from an older release of the classifications,
+# which ends at these codes: later ones are not assigned yet (null).
 EARLIER_RUN = (None, "1997-01-01")
-LATER_RUN = ("1999-01-01", None)
+LATER_RUN = ("1997-01-01", None)
+EARLIER_LAST_BASIC, EARLIER_LAST_UNDERGRAD = 17, 6
 
 
 def _count_nonzero(cond):
@@ -36,23 +38,25 @@ _PLANS: dict = {}
 
 
 def school_raw(spark: SparkSession, sf_dir: str, since: str | None = None,
-               until: str | None = None, reported_only: bool = False) -> DataFrame:
+               until: str | None = None, reported_only: bool = False,
+               old_codes: bool = False) -> DataFrame:
     """Raw school records (codes not yet decoded) with their page ordinals.
 
     ``since``/``until`` restrict the orders to a date window; with
-    ``reported_only`` a school without orders in the window is left out.
+    ``reported_only`` a school without orders in the window is left out, with
+    ``old_codes`` classification codes beyond the older release are null.
     The lazy plan (not its data) is built once per session and arguments:
     DataFrames are immutable, and building this one costs thousands of
     driver round trips.
     """
-    key = (session_key(spark), sf_dir.rstrip("/"), since, until, reported_only)
+    key = (session_key(spark), sf_dir.rstrip("/"), since, until, reported_only, old_codes)
     if key not in _PLANS:
-        _PLANS[key] = _school_raw(spark, sf_dir, since, until, reported_only)
+        _PLANS[key] = _school_raw(spark, sf_dir, since, until, reported_only, old_codes)
     return _PLANS[key]
 
 
 def _school_raw(spark: SparkSession, sf_dir: str, since: str | None,
-                until: str | None, reported_only: bool) -> DataFrame:
+                until: str | None, reported_only: bool, old_codes: bool) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_acctbal")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
@@ -105,6 +109,9 @@ def _school_raw(spark: SparkSession, sf_dir: str, since: str | None,
     def null_when(cond, value):
         return F.when(~cond, value)
 
+    def assigned(code, last):
+        return F.when(code <= last, code) if old_codes else code
+
     return joined.select(
         key.alias("school_id"),
         F.col("c_name").alias("name"),
@@ -114,8 +121,8 @@ def _school_raw(spark: SparkSession, sf_dir: str, since: str | None,
         F.concat(F.lit("http://school.example/"), key.cast("string")).alias("school_url"),
         null_when(key % 4 == 0,
                   F.concat(F.lit("http://calc.example/"), key.cast("string"))).alias("price_calculator"),
-        (key % 37 - 2).cast("int").alias("carnegie_basic"),
-        (key % 18 - 1).cast("int").alias("carnegie_undergrad"),
+        assigned((key % 37 - 2).cast("int"), EARLIER_LAST_BASIC).alias("carnegie_basic"),
+        assigned((key % 18 - 1).cast("int"), EARLIER_LAST_UNDERGRAD).alias("carnegie_undergrad"),
         (key % 4).cast("int").alias("level"),
         (F.when(key % 9 == 0, F.lit(0.1))
           .when(key % 9 == 1, F.lit(0.05))
@@ -139,6 +146,27 @@ def _school_raw(spark: SparkSession, sf_dir: str, since: str | None,
     )
 
 
+def _offered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct (school, course) pairs: ``lineitem ⨝ orders``."""
+    lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return (lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+            .select(F.col("o_custkey").alias("school_id"), F.col("l_partkey").alias("course_id"))
+            .distinct())
+
+
+def course_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per course offered: its department, credit hours and ``n`` schools.
+
+    Counted per course before ``part`` is met, so that join has one row a
+    course on either side.
+    """
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
+    counts = _offered(spark, sf_dir).groupBy("course_id").agg(F.count(F.lit(1)).alias("n"))
+    return counts.join(part, F.col("course_id") == F.col("p_partkey")).select(
+        "course_id", F.col("p_brand").alias("department"), F.col("p_size").alias("credit_hours"), "n")
+
+
 def course(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct courses per school: ``lineitem ⨝ orders ⨝ part``.
 
@@ -147,14 +175,9 @@ def course(spark: SparkSession, sf_dir: str) -> DataFrame:
     the same and the part join sees one row per course instead of one per
     line item. Both steps pre-aggregate map-side before their shuffle.
     """
-    lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     part = table(spark, sf_dir, "part").select(
         "p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
-    offered = (lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-               .select(F.col("o_custkey").alias("school_id"), F.col("l_partkey").alias("course_id"))
-               .distinct())
-    return offered.join(part, F.col("course_id") == F.col("p_partkey")).select(
+    return _offered(spark, sf_dir).join(part, F.col("course_id") == F.col("p_partkey")).select(
         "school_id",
         "course_id",
         F.col("p_name").alias("course_name"),

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
-from campuslens.session import scratch_path
+from campuslens.session import MAX_BUCKETS, scratch_path
 
 
 def store_bucketed(df: DataFrame, name: str, key: str, buckets: int | None = None) -> DataFrame:
@@ -20,10 +21,20 @@ def store_bucketed(df: DataFrame, name: str, key: str, buckets: int | None = Non
     folder; the table is registered in the session catalog.
     """
     spark = df.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = min(buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
     table_name = f"{name}_{uuid.uuid4().hex[:12]}"
     (df.repartition(buckets, key)
      .write.bucketBy(buckets, key).sortBy(key)
      .option("path", scratch_path(spark, name))
      .saveAsTable(table_name))
     return spark.table(table_name)
+
+
+def append_rows(df: DataFrame, path: str) -> int:
+    """Append ``df`` to the Parquet folder ``path``; return the rows written.
+
+    The count is observed while writing, without a second pass.
+    """
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
+    return seen.get["rows"]

@@ -4,18 +4,28 @@ A file stream over the landing root picks up only pages it has not seen
 (the stream checkpoint records them). ``trigger(availableNow=True)``
 processes what is there and stops, which matches a scheduled weekly run.
 
-Each micro-batch writes the new state as a new version folder of every
-table (``<root>/<table>/v=<batch>``) and then appends the batch id to a
-commit log. Readers take the latest committed version, never a folder
-being written, and nothing is overwritten in place. A batch replayed after
-a failure finds its id in the log and is skipped; a batch that failed
-before committing simply rewrites its own version folder.
+State is versioned. The fact is dealt by key into buckets, and a load
+rewrites only the buckets its rows fall into
+(``<root>/university/v=<version>/bucket=<b>``), so its cost follows the
+change, not the stored total; the dimensions, bounded by their labels, are
+written whole (``<root>/<dim>/v=<version>``). A commit then appends one row
+to the log: the version, the stream's query id and batch id, and for every
+bucket the version that holds it. Readers take what the latest commit
+lists; nothing is overwritten in place.
+
+A batch replayed after a failure finds its (query id, batch id) in the log
+and is skipped. A new stream over old state, whose batch ids start at 0
+again, has another query id, so its data is loaded. A batch that failed
+before committing rewrites its own version folders. ``expire`` deletes what
+only older commits refer to.
 """
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,10 +35,15 @@ from campuslens.operators.upsert import assert_source_unique, latest_per_key
 from campuslens.plans import load as L
 from campuslens.sources.pages import unnest_pages
 from campuslens.schemas import (DIM_PROGRAM_SCHEMA, DIM_PROGRAM_TYPE_SCHEMA,
-                                FACT_SCHEMA, page_schema)
+                                STORED_FACT_SCHEMA, page_schema)
+from campuslens.session import remove, scratch_path, stage
 
 TABLES = ("university", "dim_program", "dim_program_type")
 COMMITS = "_commits"
+COMMIT_SCHEMA = "version long, query string, batch long, layout array<struct<bucket:int,version:long>>"
+# Buckets of the fact, and commits whose files ``expire`` keeps.
+BUCKETS = 64
+KEEP = 5
 
 
 def landing_schema(levels: list[str]) -> T.StructType:
@@ -41,32 +56,43 @@ def landing_schema(levels: list[str]) -> T.StructType:
 class VersionedTables:
     """Latest committed version of each table under one root folder."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-        self.schemas = {"university": FACT_SCHEMA, "dim_program": DIM_PROGRAM_SCHEMA,
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+        self.schemas = {"university": STORED_FACT_SCHEMA, "dim_program": DIM_PROGRAM_SCHEMA,
                         "dim_program_type": DIM_PROGRAM_TYPE_SCHEMA}
 
-    def _commits(self) -> DataFrame | None:
+    def log(self) -> list:
+        """All commits by version: one row per load, so bounded by the number of runs."""
         try:
-            return self.spark.read.schema("batch long").parquet(f"{self.root}/{COMMITS}")
+            rows = self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.root}/{COMMITS}")
         except AnalysisException as err:
             # Only "no commit yet" means an empty state. Any other failure
             # must not be read as "nothing committed": the batch would then
             # start from empty tables and commit a version that drops data.
             if err.getCondition() == "PATH_NOT_FOUND":
-                return None
+                return []
             raise
+        return sorted(rows.collect(), key=lambda r: r.version)
 
     def committed(self) -> list[int]:
-        log = self._commits()
-        # The commit log has one row per batch: bounded by the number of runs.
-        return [] if log is None else sorted(r.batch for r in log.collect())
-
-    def current(self, name: str, done: list[int] | None = None) -> DataFrame:
-        done = self.committed() if done is None else done
-        if not done:
+        return [r.version for r in self.log()]
+
+    def bucket(self) -> Column:
+        return F.pmod(F.hash("school_id"), F.lit(self.buckets))
+
+    def current(self, name: str, log: list | None = None, only: set[int] | None = None) -> DataFrame:
+        """The committed table; of the fact, ``only`` the given buckets."""
+        log = self.log() if log is None else log
+        if not log:
+            paths = []
+        elif name == "university":
+            paths = [f"{self.root}/{name}/v={e.version}/bucket={e.bucket}" for e in log[-1].layout
+                     if only is None or e.bucket in only]
+        else:
+            paths = [f"{self.root}/{name}/v={log[-1].version}"]
+        if not paths:
             return self.spark.createDataFrame([], self.schemas[name])
-        return self.spark.read.schema(self.schemas[name]).parquet(f"{self.root}/{name}/v={done[-1]}")
+        return self.spark.read.schema(self.schemas[name]).parquet(*paths)
 
     def register_views(self, prefix: str = "") -> list[str]:
         """Expose the latest committed tables to SQL as temporary views.
@@ -75,61 +101,100 @@ class VersionedTables:
         (``spark.sql("SELECT ... FROM university JOIN dim_program ...")``)
         against the same versions the DataFrame functions read.
         """
-        done = self.committed()
+        log = self.log()
         names = []
         for name in TABLES:
-            self.current(name, done).createOrReplaceTempView(prefix + name)
+            self.current(name, log).createOrReplaceTempView(prefix + name)
             names.append(prefix + name)
         return names
 
-    def write(self, batch: int, name: str, df: DataFrame) -> DataFrame:
-        """Write one table's version of ``batch`` and return it read back."""
-        path = f"{self.root}/{name}/v={batch}"
+    def write(self, version: int, name: str, df: DataFrame) -> DataFrame:
+        """Write one dimension's version and return it read back."""
+        path = f"{self.root}/{name}/v={version}"
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(self.schemas[name]).parquet(path)
 
-    def commit(self, batch: int) -> None:
-        (self.spark.range(1).select(F.lit(batch).cast("long").alias("batch"))
-         .write.mode("append").parquet(f"{self.root}/{COMMITS}"))
+    def write_buckets(self, version: int, fact: DataFrame) -> None:
+        """Write the rows of the touched buckets, one file a bucket."""
+        (fact.withColumn("bucket", self.bucket()).repartition("bucket")
+         .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/university/v={version}"))
+
+    def commit(self, version: int, query_id: str, batch_id: int, layout: dict[int, int]) -> None:
+        row = (version, query_id, batch_id, sorted(layout.items()))
+        self.spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(
+            f"{self.root}/{COMMITS}")
 
+    def expire(self, keep: int = KEEP) -> int:
+        """Delete files that only commits older than the last ``keep`` refer to.
 
-def process_batch(tables: VersionedTables, batch: DataFrame, batch_id: int, k: int = TOP_K,
-                  on_repeat: str = "raise") -> None:
+        Readers of older versions must be done. Returns the folders deleted.
+        """
+        log = self.log()
+        held = {(e.bucket, e.version) for r in log[-keep:] for e in r.layout}
+        gone = {f"university/v={e.version}/bucket={e.bucket}" for r in log[:-keep] for e in r.layout
+                if (e.bucket, e.version) not in held}
+        gone |= {f"{name}/v={r.version}" for r in log[:-keep] for name in TABLES[1:]}
+        for path in gone:
+            remove(self.spark, f"{self.root}/{path}")
+        return len(gone)
+
+
+def process_batch(tables: VersionedTables, batch: DataFrame, batch_id: int, query_id: str,
+                  k: int = TOP_K, on_repeat: str = "raise") -> None:
     """Rank, cut, fill and load one batch of landed pages.
 
-    A school landed twice in one batch is an error (``on_repeat="raise"``),
-    or keeps its latest record by (page, position) (``"latest"``). This is
-    decided before ranking, so a repeat can never take two top-k places.
+    A batch may hold several runs (a week was missed): a school in more than
+    one of them keeps the record of the latest run, in the order of the
+    partition levels. A school twice within one run is an error
+    (``on_repeat="raise"``), or keeps its latest record by (page, position)
+    (``"latest"``). This is decided before ranking, so a repeat can never
+    take two top-k places.
     """
-    done = tables.committed()
-    if batch_id in done:
+    log = tables.log()
+    if any(r.query == query_id and r.batch == batch_id for r in log):
         return
-    records = flatten_record(unnest_pages(batch.drop("run")))
-    if on_repeat == "latest":
-        records = latest_per_key(records, "school_id", ["page", "pos"])
-    else:
-        assert_source_unique(records, "school_id")
-    # The top-k (at most k rows) feeds every later step: staged once in the
-    # shared folder, it is computed once and survives the loss of an executor.
-    top_df = L.stage(L.transform(decode(records), k), "batch_top")
+    version = log[-1].version + 1 if log else 0
+    levels = [c for c in batch.columns if c not in ("page", "results")]
+    # The parsed batch and its top-k (at most k rows) are read by several
+    # steps: staged in the shared folder, each is computed once and survives
+    # the loss of an executor. Both go when the batch is committed.
+    scratch = scratch_path(tables.spark, "batch")
+    parsed = stage(flatten_record(unnest_pages(batch)), path=f"{scratch}/parsed")
+    if on_repeat != "latest":
+        assert_source_unique(parsed, "school_id", levels)
+    records = latest_per_key(parsed, "school_id", [*levels, "page", "pos"]).drop(*levels)
+    top_df = stage(L.transform(decode(records), k, flag=True), path=f"{scratch}/top")
+    touched = {r[0] for r in top_df.select(tables.bucket()).distinct().collect()}  # at most ``buckets`` rows
     # Dimensions are written first; the fact then takes its ids from the
     # stored versions (the same flow as a batch load).
-    fact, _, _ = L.load(*[tables.current(t, done) for t in TABLES], top_df,
-                        persist=lambda df, name: tables.write(batch_id, name, df), k=k)
-    tables.write(batch_id, "university", fact)
-    tables.commit(batch_id)
+    fact, _, _ = L.load(tables.current("university", log, touched),
+                        *[tables.current(t, log) for t in TABLES[1:]], top_df,
+                        persist=lambda df, name: tables.write(version, name, df), k=k)
+    if touched:
+        tables.write_buckets(version, fact)
+    layout = {e.bucket: e.version for e in log[-1].layout} if log else {}
+    tables.commit(version, query_id, batch_id, {**layout, **dict.fromkeys(touched, version)})
+    remove(tables.spark, scratch)
 
 
 def run_available(spark: SparkSession, landing: str, state_root: str, checkpoint: str,
-                  levels: list[str], k: int = TOP_K, on_repeat: str = "raise") -> VersionedTables:
+                  levels: list[str], k: int = TOP_K, on_repeat: str = "raise",
+                  buckets: int = BUCKETS) -> VersionedTables:
     """Process every page landed since the last run, then stop."""
-    tables = VersionedTables(spark, state_root)
+    tables = VersionedTables(spark, state_root, buckets)
     stream = (spark.readStream.schema(landing_schema(levels))
               .option("mode", "FAILFAST").json(landing))
-    query = (stream.writeStream
-             .foreachBatch(lambda df, bid: process_batch(tables, df, bid, k, on_repeat))
+    started, stream_id = threading.Event(), []
+
+    def load(df, batch_id):
+        started.wait()
+        process_batch(tables, df, batch_id, stream_id[0], k, on_repeat)
+
+    query = (stream.writeStream.foreachBatch(load)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
              .start())
+    stream_id.append(str(query.id))  # kept in the checkpoint, so a restarted stream has the same
+    started.set()
     query.awaitTermination()
     return tables

@@ -13,7 +13,8 @@ from conftest import SF_SMALL
 
 def test_two_scheduled_loads_then_dashboard(spark):
     root = scratch_path(spark, "cli")
-    args = Namespace(landing=f"{root}/landing", state=f"{root}/state", api_url=None, k=1000, keep_latest=False)
+    args = Namespace(landing=f"{root}/landing", state=f"{root}/state", api_url=None, k=1000, keep_latest=False,
+                     keep_versions=1)
     for run in ("earlier", "later"):
         PG.land_pages(school_raw(spark, SF_SMALL, **L.run_window(run)), f"{args.landing}/run={run}")
         _load(spark, args)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from campuslens.operators.rank import top_k
 from campuslens.plans import dashboard as DB
 from campuslens.plans import load as L
+from campuslens.schemas import FACT_COLUMNS
 from campuslens.sources.standin import course
 
 from conftest import SF_SMALL
@@ -60,11 +61,19 @@ def test_full_update_upsert_is_an_anti_join(spark):
 def test_bounded_source_upsert_never_shuffles_the_target(spark):
     from campuslens.operators.upsert import upsert
 
-    t = L.stage(L.full_load(spark, SF_SMALL, "earlier"), "t")
+    t = L.stage(L.full_load(spark, SF_SMALL, "earlier").select(*FACT_COLUMNS), "t")
     s = L.stage(L.fact(L.top(spark, SF_SMALL, "later", 50)), "s")
     p = plan(upsert(t, s, "school_id", source_rows_bound=50))
     assert re.search(r"BroadcastHashJoin \[[^]]*\], \[[^]]*\], LeftAnti", p)
     assert "Exchange hashpartitioning" not in p
+    # a bound beyond the limit is no licence to broadcast; the rows are the same
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        beyond = upsert(t, s, "school_id", source_rows_bound=10 ** 9)
+        assert "SortMergeJoin" in plan(beyond) and "BroadcastHashJoin" not in plan(beyond)
+        assert sorted(map(str, beyond.collect())) == sorted(map(str, upsert(t, s, "school_id", source_rows_bound=50).collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_measures_are_partial_aggregates(spark):
@@ -78,10 +87,10 @@ BANNED = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "Arr
 
 def test_no_query_plans_a_cross_join_or_python_udf(spark):
     """Every registered query stays JVM-side and joins only on keys."""
-    from __spark_entry__ import queries
+    from campuslens.plans.catalog import QUERIES
 
     offenders = {}
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         text = plan(fn(spark, SF_SMALL))
         found = [b for b in BANNED if b in text]
         if found:
@@ -125,3 +134,37 @@ def test_size_checked_broadcast_falls_back_beyond_its_bound(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" in within
     assert "BroadcastHashJoin" not in beyond and "SortMergeJoin" in beyond
+
+
+def test_measures_read_pruned_columns_and_stage_nothing(spark, monkeypatch):
+    """The registered dashboard queries without ids are lazy over the source."""
+    from campuslens import session
+    from campuslens.plans.catalog import QUERIES
+
+    def refuse(*a, **k):
+        raise AssertionError("staged")
+
+    monkeypatch.setattr(L, "stage", refuse)
+    wanted = {"graduation_by_type": ("o_orderstatus", ["o_totalprice", "c_name", "o_orderpriority"]),
+              "card_avg_tuition": ("o_totalprice", ["o_orderstatus", "c_name", "c_acctbal"]),
+              "selectivity_distribution": ("o_orderstatus", ["o_totalprice", "c_name"])}
+    for name, (read, unread) in wanted.items():
+        p = plan(QUERIES[name](spark, SF_SMALL))
+        schemas = " ".join(re.findall(r"ReadSchema: struct<[^>]*>", p))
+        assert read in schemas and not [c for c in unread if c in schemas], (name, schemas)
+    for name in ("avg_excluding_zero", "not_reported_display", "retention_points", "audit_zero_metrics",
+                 "card_total_schools", "retention_vs_selectivity", "admission_summary", "levels_by_type", "course_detail"):
+        QUERIES[name](spark, SF_SMALL)
+    assert session.stage is not refuse
+
+
+def test_numbering_beyond_one_task_gives_the_same_ranks(spark, monkeypatch):
+    from campuslens.operators import rank as R
+
+    rows = L.school(spark, SF_SMALL)
+    one = sorted((r["school_id"], r["rank"]) for r in R.ranked_top_k(rows, 100).collect())
+    again = sorted((r["school_id"], r["position"]) for r in R.resort(R.ranked_top_k(rows, 100), "endowment").collect())
+    monkeypatch.setattr(R, "ONE_TASK_ROWS", 10)
+    spread = R.ranked_top_k(rows, 100)
+    assert sorted((r["school_id"], r["rank"]) for r in spread.collect()) == one
+    assert sorted((r["school_id"], r["position"]) for r in R.resort(spread, "endowment", k=100).collect()) == again
