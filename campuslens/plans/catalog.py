@@ -633,15 +633,41 @@ def keep_latest_school(spark, sf):
 # ---------------------------------------------------------------------------
 # Phase 6: incremental
 # ---------------------------------------------------------------------------
-@query("incremental_upsert", LOAD_SQL)
+def _upserted_again_sql(value: str, id_col: str, dim: str) -> str:
+    return f"""
+    SELECT {id_col}, {value} FROM u_{dim}
+    UNION ALL
+    SELECT CAST((SELECT coalesce(max({id_col}), 0) FROM u_{dim})
+                + row_number() OVER (ORDER BY min(rank)) AS INTEGER) AS {id_col}, {value}
+    FROM m_top t WHERE NOT EXISTS (SELECT 1 FROM u_{dim} d WHERE d.{value} = t.{value}) GROUP BY {value}"""
+
+
+# Third step: both runs land again before one load; the later run's record wins.
+MISSED_WEEK_SQL = (
+    f"{TWO_RUNS}{UPSERTED_DIMS}, {S.fact_cte('e_top', 'e_', 'fact')}{STAGED},\n"
+    f"loaded AS ({_upsert_sql('e_fact', 'staged')}),\n"
+    "m_school AS (SELECT * FROM l_school UNION ALL SELECT * FROM e_school e"
+    " WHERE NOT EXISTS (SELECT 1 FROM l_school l WHERE l.school_id = e.school_id)),\n"
+    f"m_ranked AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (ORDER BY {S.order_by_sql()}) AS INTEGER) AS rank"
+    f" FROM m_school) WHERE rank <= {R.TOP_K}),\n"
+    f"m_top AS ({S.fill_sql('m_ranked', ['rank'])}),\n"
+    f"m_dim_program AS ({_upserted_again_sql('program_name', 'program_id', 'dim_program')}),\n"
+    f"m_dim_program_type AS ({_upserted_again_sql('program_type', 'program_type_id', 'dim_program_type')}),\n"
+    f"{S.fact_cte('m_top', 'm_', 'fact')} {_upsert_sql('loaded', 'm_fact')}")
+
+
+@query("incremental_upsert", MISSED_WEEK_SQL)
 def incremental_upsert(spark, sf):
-    """Two weekly runs through the stream: land, process available, land, process."""
+    """Two weekly runs through the stream, each landed and loaded; then two runs
+    landed before one load, as after a missed week."""
     from campuslens.streaming.incremental import run_available
 
     root = scratch_path(spark, "incremental")
     landing, state, ckpt = f"{root}/landing", f"{root}/state", f"{root}/checkpoint"
-    tables = None
     for run in ("earlier", "later"):
         PG.land_pages(school_raw(spark, sf, **L.run_window(run)), f"{landing}/run={run}")
-        tables = run_available(spark, landing, state, ckpt, ["run"])
+        run_available(spark, landing, state, ckpt, ["run"])
+    for run in ("earlier", "later"):
+        PG.land_pages(school_raw(spark, sf, **L.run_window(run)), f"{landing}/run=z_{run}")
+    tables = run_available(spark, landing, state, ckpt, ["run"])
     return tables.current("university").select(*FACT_COLUMNS)

@@ -163,3 +163,64 @@ def test_code_tables_have_expected_sizes():
     assert len(codes.PROGRAM_TYPE) == 16 and len(set(codes.PROGRAM_TYPE.values())) == 15
     assert len(codes.DURATION) == 3
     assert len(codes.PROGRAM_NAME) == 33 and 2 not in codes.PROGRAM_NAME
+
+
+@pytest.mark.parametrize("key", [k for k, _ in RANK_KEYS[1:]])
+def test_nan_ranks_like_a_null(spark, tmp_path, key):
+    """In the top-k and in the full load's order of first occurrence alike."""
+    from campuslens.operators.rank import rank_key
+    from campuslens.sources.pages import extract
+
+    api = {plain: name for name, plain, _ in API_FIELDS}
+    rows = [{"id": 1, api["carnegie_basic"]: 15, api[key]: float("nan")},
+            {"id": 2, api["carnegie_basic"]: 15, api[key]: 5.0}, {"id": 3, api["carnegie_basic"]: 15}]
+    _write_lines(tmp_path / "p", [{"page": 1, "results": rows}])
+    df = decode(extract(spark, str(tmp_path / "p")))
+    assert [r.school_id for r in ranked_top_k(df).orderBy("rank").collect()] == [2, 1, 3]
+    assert [r.school_id for r in df.orderBy(rank_key()).collect()] == [2, 1, 3]
+    assert df.where(F.isnan(F.col(key))).count() == 0
+
+
+def test_unreported_admission_rate_is_not_open(spark):
+    from campuslens.operators.fill import flag_reported
+    from campuslens.plans import dashboard as DB
+
+    raw = raw_frame(spark, [{"school_id": 1}, {"school_id": 2, "admission_rate": 1.0},
+                            {"school_id": 3, "admission_rate": 0.0}, {"school_id": 4, "admission_rate": 0.5}])
+    fact = fill_missing(flag_reported(decode(raw)))
+    got = {r.school_id: (r.admission_rate, r.selectivity) for r in DB.retention_points(fact).collect()}
+    assert got == {1: (1.0, "Not Reported"), 2: (1.0, "Open"), 3: (0.0, "Not Reported"), 4: (0.5, "Selective")}
+    rows = {r.selectivity: r for r in DB.admission_summary(fact).collect()}
+    assert rows["Not Reported"].avg_admission_rate is None and rows["Not Reported"].schools == 2
+    assert rows["Open"].avg_admission_rate == 1.0
+
+
+def test_appends_report_their_rows(spark, tmp_path):
+    from campuslens.sources.tables import append_rows
+
+    path = str(tmp_path / "t")
+    assert [append_rows(spark.range(n), path) for n in (0, 7, 5)] == [0, 7, 5]
+    assert spark.read.parquet(path).count() == 12
+
+
+def test_null_keys_survive_keep_latest(spark):
+    src = spark.createDataFrame([(None, "a", 1), (None, "b", 2), (1, "c", 1), (1, "d", 2)], "k long, v string, o long")
+    assert sorted(r.v for r in latest_per_key(src, "k", ["o"]).collect()) == ["a", "b", "d"]
+
+
+def test_rules_as_plain_values():
+    """What the source fixes, written out: the oracle SQL shares the constants, this does not."""
+    from campuslens.functions.measures import ABOVE_BANDS, SELECTIVITY_BANDS
+    from campuslens.operators.fill import ADMISSION_RATE_FILL, ZERO_FILL_COLUMNS
+    from campuslens.operators.rank import TOP_K
+
+    assert RANK_KEYS == [("research_output", "asc"), ("admission_rate", "asc"), ("graduation_rate", "desc"),
+                         ("earnings_after_10yrs", "desc"), ("faculty_quality", "asc"), ("international_outlook", "desc"),
+                         ("revenue_per_student", "desc"), ("spending_per_student", "desc"), ("endowment", "desc")]
+    assert TOP_K == 1000 and ADMISSION_RATE_FILL == 1.0 and ABOVE_BANDS == "Open"
+    assert sorted(ZERO_FILL_COLUMNS) == sorted(
+        ["price_calculator", "in_state_tuition", "out_of_state_tuition", "average_sat_score", "earnings_after_10yrs",
+         "graduation_rate", "international_outlook", "revenue_per_student", "spending_per_student", "endowment",
+         "retention_rate", "financial_aid_percent", "faculty_quality"])
+    assert SELECTIVITY_BANDS == [(0.10, "Highly Selective"), (0.25, "Very Selective"), (0.50, "Selective"),
+                                 (0.75, "Less Selective")]

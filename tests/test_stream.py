@@ -1,5 +1,7 @@
 """Incremental ingest: idempotent reruns and replayed batches."""
 
+import pytest
+
 from campuslens.plans import load as L
 from campuslens.schemas import FACT_COLUMNS
 from campuslens.session import scratch_path
@@ -64,3 +66,77 @@ def test_repeated_school_in_a_batch_fails_or_keeps_latest(spark, tmp_path):
                            str(lenient_root / "ckpt"), ["run"], on_repeat="latest")
     names = {r.school_id: r.name for r in tables.current("university").collect()}
     assert names == {1: "new", 2: "b"}
+
+
+def _land(root, runs):
+    """runs: {run: {page: [(id, name)]}}; returns the landing root."""
+    import json
+
+    for run, pages in runs.items():
+        d = root / "landing" / f"run={run}"
+        d.mkdir(parents=True)
+        lines = [{"page": p, "results": [{"id": i, "school.name": n} for i, n in rows]} for p, rows in pages.items()]
+        (d / "part-0.json").write_text("\n".join(json.dumps(x) for x in lines) + "\n")
+    return str(root / "landing")
+
+
+def _names(tables):
+    return sorted((r.school_id, r.name) for r in tables.current("university").collect() if r.school_id is not None)
+
+
+def test_new_checkpoint_on_old_state_loads_new_data(spark, tmp_path):
+    landing, state = _land(tmp_path, {"a": {1: [(1, "one")]}}), str(tmp_path / "state")
+    run_available(spark, landing, state, str(tmp_path / "ckpt1"), ["run"])
+    _land(tmp_path, {"b": {1: [(2, "two")]}})
+    tables = run_available(spark, landing, state, str(tmp_path / "ckpt2"), ["run"])  # batch ids start at 0 again
+    assert _names(tables) == [(1, "one"), (2, "two")] and tables.committed() == [0, 1]
+
+
+@pytest.mark.parametrize("mode", ["raise", "latest"])
+def test_two_runs_in_one_batch_keep_the_latest_run(spark, tmp_path, mode):
+    landing = _land(tmp_path, {"1": {1: [(5, "b")], 2: [(1, "old"), (2, "x")]}, "2": {1: [(1, "new"), (3, "y")]}})
+    tables = run_available(spark, landing, str(tmp_path / "s"), str(tmp_path / "c"), ["run"], on_repeat=mode)
+    assert _names(tables) == [(1, "new"), (2, "x"), (3, "y"), (5, "b")]
+
+
+def test_null_ids_are_all_kept(spark, tmp_path):
+    landing = _land(tmp_path, {"1": {1: [(None, "p"), (None, "q"), (4, "r")]}})
+    for mode in ("raise", "latest"):
+        tables = run_available(spark, landing, str(tmp_path / mode), str(tmp_path / f"c{mode}"), ["run"], on_repeat=mode)
+        assert sorted(r.name for r in tables.current("university").collect()) == ["p", "q", "r"]
+
+
+def test_batch_load_refuses_a_repeated_school(spark):
+    top = L.stage(L.top(spark, SF_SMALL, k=5), "top")
+    dp, dt = L.frame_dims(top)
+    stored = L.fact(top).limit(0)
+    with pytest.raises(ValueError):
+        L.load(stored, dp, dt, top.union(top.limit(1)))
+
+
+def test_update_of_one_school_leaves_other_buckets_alone(spark, tmp_path):
+    state, ckpt = str(tmp_path / "s"), str(tmp_path / "c")
+    landing = _land(tmp_path, {"1": {1: [(i, f"n{i}") for i in range(40)]}})
+    tables = run_available(spark, landing, state, ckpt, ["run"], buckets=8)
+    before = {e.bucket: e.version for e in tables.log()[-1].layout}
+    files = sorted(str(p) for p in (tmp_path / "s" / "university").rglob("*.parquet"))
+    _land(tmp_path, {"2": {1: [(7, "changed")]}})
+    tables = run_available(spark, landing, state, ckpt, ["run"], buckets=8)
+    after = {e.bucket: e.version for e in tables.log()[-1].layout}
+    changed = [b for b in after if after[b] != before[b]]
+    assert len(before) > 1 and len(changed) == 1
+    new = sorted(str(p) for p in (tmp_path / "s" / "university").rglob("*.parquet"))
+    assert set(files) <= set(new) and all(f"bucket={changed[0]}/" in f for f in set(new) - set(files))
+    assert _names(tables) == [(i, "changed" if i == 7 else f"n{i}") for i in range(40)]
+    # expiry deletes only what the kept commits do not use
+    assert tables.expire(1) == 3 and _names(tables)[7] == (7, "changed")
+    assert len(list((tmp_path / "s" / "university").rglob("*.parquet"))) == len(before)
+
+
+def test_run_labels_are_utc_and_unique():
+    import time
+
+    from campuslens.__main__ import run_label
+
+    one, two = run_label(), run_label()
+    assert one != two and abs(int(one[:8]) - int(time.strftime("%Y%m%d", time.gmtime()))) <= 1
