@@ -21,17 +21,16 @@ FIRST = "first_rank"
 
 
 def first_occurrence(df: DataFrame, value_col: str, order_col: str = "rank") -> DataFrame:
-    """Distinct non-null values with their best position (``min`` of ``order_col``).
+    """Distinct values with their best position (``min`` of ``order_col``).
 
     A partial aggregate per input partition runs before the shuffle, so a
     label held by a third of all rows still ships one row per partition.
     """
-    return (df.where(F.col(value_col).isNotNull())
-            .groupBy(value_col)
-            .agg(F.min(order_col).alias(FIRST)))
+    return df.groupBy(value_col).agg(F.min(order_col).alias(FIRST))
 
 
 def drop_null_names(df: DataFrame, value_col: str) -> DataFrame:
+    """Rows without a name make no dimension row."""
     return df.dropna(subset=[value_col])
 
 
@@ -44,12 +43,12 @@ def number_dim(firsts: DataFrame, value_col: str, id_col: str, start: int = 0) -
 
 def build_dim(df: DataFrame, value_col: str, id_col: str, order_col: str = "rank") -> DataFrame:
     """Frame-local dimension: ids 1..n by first occurrence."""
-    return number_dim(first_occurrence(df, value_col, order_col), value_col, id_col)
+    return number_dim(first_occurrence(drop_null_names(df, value_col), value_col, order_col), value_col, id_col)
 
 
 def new_names(stored: DataFrame, df: DataFrame, value_col: str, order_col: str = "rank") -> DataFrame:
     """Names of ``df`` not yet in ``stored`` (set-based ``NOT EXISTS``)."""
-    return first_occurrence(df, value_col, order_col).join(
+    return first_occurrence(drop_null_names(df, value_col), value_col, order_col).join(
         stored.select(value_col), value_col, "left_anti")
 
 

@@ -224,3 +224,11 @@ def test_rules_as_plain_values():
          "retention_rate", "financial_aid_percent", "faculty_quality"])
     assert SELECTIVITY_BANDS == [(0.10, "Highly Selective"), (0.25, "Very Selective"), (0.50, "Selective"),
                                  (0.75, "Less Selective")]
+
+
+def test_null_names_make_no_dimension_row(spark):
+    df = spark.createDataFrame([(None, 1), ("a", 2), ("b", 3), ("a", 4)], "program_name string, rank int")
+    assert sorted((r.program_id, r.program_name) for r in D.build_dim(df, "program_name", "program_id").collect()) == [
+        (1, "a"), (2, "b")]
+    assert D.first_occurrence(df, "program_name").count() == 3
+    assert D.first_occurrence(D.drop_null_names(df, "program_name"), "program_name").count() == 2

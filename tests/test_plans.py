@@ -36,6 +36,13 @@ def test_slicer_is_pushed_to_parquet(spark):
     assert "ReadSchema: struct<school_id:bigint,state:string,school_type:string>" in p
 
 
+def test_registered_slicer_reads_a_stored_fact(spark):
+    from campuslens.plans.catalog import QUERIES
+
+    p = plan(QUERIES["slice_state_type"](spark, SF_SMALL))
+    assert re.search(r"PushedFilters: \[[^]]*(In|Or)\(", p) and "university" in p
+
+
 def test_course_distinct_runs_before_part_join(spark):
     text = course(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     # the Aggregate (distinct) sits below the join with part
