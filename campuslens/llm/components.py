@@ -12,13 +12,13 @@ def _checksum(edges: DataFrame):
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, stage=stage) -> DataFrame:
     """(node, component): the smallest node reachable, for every node of an edge (a, b).
 
     Large-star links a node's larger neighbours to its smallest one,
     small-star its smaller ones; the edges end as stars around the smallest
     nodes. Every round is written to the shared folder, so lineage stays
-    short. Minima are partial aggregates, and the joins back are on the node,
+    short (``stage`` says where). Minima are partial aggregates, and the joins back are on the node,
     where a hub is split by adaptive skew handling.
     """
     cut = lambda df: stage(df.where("a <> b").select(

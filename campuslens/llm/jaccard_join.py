@@ -45,12 +45,13 @@ from pyspark.sql import functions as F
 
 from campuslens.llm.components import components
 from campuslens.llm.text import LOWER, binary_rows, chunks, hash_spans, mix64, shingle_hashes, word_bounds
-from campuslens.session import stage
+from campuslens.llm.workspace import Workspace
 
 SHINGLE = 5
 GROUP_SETS = 256
 GROUP_TOKENS = 1 << 20
 EXPAND = 1 << 22
+RUN_BYTES = 4 << 20
 LOW48 = np.uint64((1 << 48) - 1)
 MANY = np.uint32(0xFFFFFFFF)
 
@@ -94,7 +95,7 @@ def _runs(docs: DataFrame, buckets: int) -> DataFrame:
         part, number = TaskContext.get().partitionId(), 0
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            for lo, hi, data, off in chunks(batch.column(1)):
+            for lo, hi, data, off in chunks(batch.column(1), RUN_BYTES):
                 key = (part << 32) + number
                 number += 1
                 flat, off = shingle_sets(data, off)
@@ -171,23 +172,27 @@ def _shared_of_bucket(table: pa.Table) -> pa.Table:
     sig = np.concatenate([np.repeat(_bytes(table, "sigs", np.uint64), size), np.zeros(len(token) - single, np.uint64)])
     owner = np.concatenate([np.repeat(_bytes(table, "owners", np.uint32), size), np.full(len(token) - single, MANY)])
     weight = np.concatenate([np.ones(single, np.uint32), _bytes(table, "many_n", np.uint32)])
-    line = np.concatenate([np.repeat(np.arange(table.num_rows), per_row("lo", 4)),
-                           np.repeat(np.arange(table.num_rows), per_row("many_lo", 4))])
+    rows = np.arange(table.num_rows, dtype=np.int32)
+    line = np.concatenate([np.repeat(rows, per_row("lo", 4)), np.repeat(rows, per_row("many_lo", 4))])
+    run = table.column("run")
+    del table  # the arrays above are all that is needed of it
     order = np.argsort(token, kind="stable")
-    token, sig, weight = token[order], sig[order], weight[order]
+    token, weight = token[order], weight[order]
+    sig = sig[order]
     start = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
     width = np.diff(np.append(start, len(token)))
     shared = ((np.maximum.reduceat(weight, start) > 1)
               | (np.maximum.reduceat(sig, start) != np.minimum.reduceat(sig, start)))
+    del sig
     total = np.add.reduceat(weight.astype(np.int64), start)
     keep = np.repeat(shared, width)
     back = order[keep]  # places in the unsorted order
     by = np.argsort(line[back], kind="stable")
     token, count = token[keep][by] | bucket, np.repeat(total, width)[keep][by].astype(np.uint32)
     owner, line = owner[back][by], line[back][by]
-    bounds = np.searchsorted(line, np.arange(table.num_rows + 1))
+    bounds = np.searchsorted(line, np.arange(len(rows) + 1))
     some = np.flatnonzero(np.diff(bounds))
-    columns = {"run": table.column("run").take(pa.array(some)),
+    columns = {"run": run.take(pa.array(some)),
                "owners": binary_rows(owner, bounds).take(pa.array(some)),
                "tokens": binary_rows(token, bounds).take(pa.array(some)),
                "counts": binary_rows(count, bounds).take(pa.array(some))}
@@ -344,6 +349,8 @@ def similarity_classes(docs: DataFrame) -> DataFrame:
     ``n_links`` counts the other documents linked, copies included.
     """
     spark = docs.sparkSession
+    work = Workspace(spark, "shingles")
+    stage = work.stage
     buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 4096)
     sets = stage(_runs(docs, buckets).groupBy("bucket", F.when(F.col("bucket") < 0, F.col("run")).alias("own"))
                  .applyInArrow(_shared_of_bucket, _SHARED)
@@ -377,12 +384,13 @@ def similarity_classes(docs: DataFrame) -> DataFrame:
              .select(*[F.col(c).alias(c) for c in left.columns]))
     found = stage(left.groupBy("l", "r").cogroup(right.groupBy("l", "r"))
                   .applyInArrow(_open_pair, "a long, b long, links long"), "shingle-links")
-    joined = components(found.where(F.col("b").isNotNull()))
+    joined = components(found.where(F.col("b").isNotNull()), stage)
     degree = found.where(F.col("b").isNull()).groupBy("a").agg(F.sum("links").alias("links"))
     named = (classes.join(joined, F.col("rep") == F.col("node"), "left")
              .join(degree, F.col("rep") == F.col("a"), "left")
              .select("sig", "rep", F.coalesce("component", "rep").alias("component"),
                      (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
-    return (sets.select("doc_id", "n", "sig").join(named, "sig", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"),
-                    F.coalesce("rep", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
+    return work.result(
+        sets.select("doc_id", "n", "sig").join(named, "sig", "left")
+        .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"),
+                F.coalesce("rep", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 LONG_WORD = 4096
 
 SPACE = np.zeros(256, bool)
@@ -135,7 +135,7 @@ class Memo:
     spans the memo starts anew, so its memory is bounded.
     """
 
-    def __init__(self, compute, dtype, limit: int = 600_000):
+    def __init__(self, compute, dtype, limit: int = 400_000):
         self.compute, self.dtype, self.limit = compute, dtype, limit
         self.clear()
 
