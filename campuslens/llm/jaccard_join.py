@@ -351,7 +351,8 @@ def similarity_classes(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     work = Workspace(spark, "shingles")
     stage = work.stage
-    buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 4096)
+    # two buckets a partition: a worker holds one bucket's shingles at a time
+    buckets = min(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), 8192)
     sets = stage(_runs(docs, buckets).groupBy("bucket", F.when(F.col("bucket") < 0, F.col("run")).alias("own"))
                  .applyInArrow(_shared_of_bucket, _SHARED)
                  .groupBy("run").applyInArrow(_sets_of_run, _SETS), "shingle-sets")
