@@ -46,9 +46,8 @@ def features(piece: bytes) -> list[int]:
     """Bucket numbers of a word and its character n-grams."""
     word = "<" + piece.decode("utf-8", "replace") + ">"
     out = [binascii.crc32(b"w" + piece) % BUCKETS]
-    if len(word) <= 64:  # a longer run is no word: the whole is its only feature
-        for n in GRAMS:
-            out += [binascii.crc32(word[i:i + n].encode()) % BUCKETS for i in range(len(word) - n + 1)]
+    for n in GRAMS:
+        out += [binascii.crc32(word[i:i + n].encode()) % BUCKETS for i in range(len(word) - n + 1)]
     return out
 
 

@@ -74,3 +74,15 @@ def test_held_out_accuracy_on_given_documents(spark):
            .join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").toPandas())
     assert auc(got.toxic, got.score) > 0.92
     assert ((got.predicted == 1) & (got.toxic == 0)).sum() <= 0.03 * (got.toxic == 0).sum()
+
+
+def test_runs_of_any_length_have_their_n_grams():
+    rng = np.random.default_rng(31)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 6))
+    bad, good = [word() for _ in range(12)], [word() for _ in range(200)]
+    pick = lambda words, n: [words[int(i)] for i in rng.integers(0, len(words), n)]
+    texts = [" ".join(pick(good, 30) + (pick(bad, 6) if k % 2 else [])) for k in range(400)]
+    model = T.fit(texts, [k % 2 for k in range(400)])
+    mean = lambda text: np.mean(model.weight[T.features(text.encode())])
+    joined = [("".join(pick(bad, 20)), "".join(pick(good, 20))) for _ in range(20)]
+    assert all(len(a) > 64 and model.score(mean(a)) > model.score(mean(b)) for a, b in joined)
