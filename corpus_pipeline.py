@@ -44,8 +44,14 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated and cut as the mix of the sources takes them."""
-    return mixing.repeat(mixing.mix(docs)).select(*docs.columns)
+    """Documents repeated as the mix of the sources takes them, each time whole.
+
+    A document of which the mix takes a part is taken once more if that is
+    half of it or more, so a source is off its target by half a document at most.
+    """
+    times = F.expr("(2 * taken + size) div (2 * size)")
+    mixed = mixing.mix(docs).withColumn("taken", F.when(F.col("size") > 0, times * F.col("size")).otherwise(F.lit(0)))
+    return mixing.repeat(mixed).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

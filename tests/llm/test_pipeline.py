@@ -55,3 +55,15 @@ def test_run_is_the_registered_query(spark):
     rows = C.run(spark, SF).collect()
     library = sentencepiece_codec.load(tokenizer_file("piece_bpe_32k.model"))
     assert rows and all(r["round_trip"] for r in rows) and library.kind == sentencepiece_codec.BPE
+
+
+def test_the_mix_takes_whole_texts(spark):
+    rows = [(d, " ".join(f"w{d}x{k}" for k in range(5 + 37 * d % 90)), "en", "abc"[d % 3], 0) for d in range(60)]
+    rows += [(100, "long " * 5000, "en", "a", 25_000)]
+    docs = spark.createDataFrame(rows, DOCS)
+    mixed = C.mix_sources(spark, docs, SF).collect()
+    assert mixed and {(r["doc_id"], r["text"], r["n_chars"]) for r in mixed} <= {(r[0], r[1], r[4]) for r in rows}
+    goals = {r["source"]: r for r in C.mixing.mix(docs).collect()}
+    for source, goal in goals.items():
+        words = sum(len(r["text"].split()) for r in mixed if r["source"] == source)
+        assert abs(words - goal["target"]) <= 2501
