@@ -22,8 +22,13 @@ LOWER[ord("A"):ord("Z") + 1] += 32
 
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(1, 2 ** 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Bytes over which one run of prefix sums reaches.
+SEGMENT = 1 << 18
+_P = 0x9E3779B97F4A7C15
 with np.errstate(over="ignore"):
-    _POW = np.cumprod(np.full(LONG_WORD, 0x9E3779B97F4A7C15, np.uint64))
+    _POW = np.cumprod(np.full(SEGMENT, _P, np.uint64))
+    _UNPOW = np.ones(SEGMENT + 1, np.uint64)
+    _UNPOW[1:] = np.cumprod(np.full(SEGMENT, pow(_P, -1, 1 << 64), np.uint64))
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -82,27 +87,33 @@ def word_bounds(data: np.ndarray, off: np.ndarray, cut: np.ndarray | None = None
 
 
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte spans; a function of the span's bytes alone."""
+    """64-bit hashes of byte spans; a function of the span's bytes alone.
+
+    A span's hash is a polynomial in an odd base, read off prefix sums over
+    the bytes: the difference of two sums, times the inverse power of the
+    span's place (an odd base has one modulo 2^64).
+    """
+    if len(starts) and (np.diff(starts) < 0).any():
+        order = np.argsort(starts, kind="stable")
+        out = np.empty(len(starts), np.uint64)
+        out[order] = hash_spans(data, starts[order], ends[order])
+        return out
     lens = ends - starts
     out = np.empty(len(starts), np.uint64)
     long = np.flatnonzero(lens > LONG_WORD)
-    for i in long:
-        out[i] = xxhash.xxh3_64_intdigest(data[starts[i]:ends[i]].tobytes())
-    short = np.flatnonzero(lens <= LONG_WORD) if len(long) else np.arange(len(starts))
+    lo = 0
     with np.errstate(over="ignore"):
-        cum = np.cumsum(lens[short])
-        lo = 0
-        while lo < len(short):
-            base = cum[lo - 1] if lo else 0
-            hi = max(lo + 1, int(np.searchsorted(cum, base + CHUNK_BYTES // 4, side="right")))
-            own = short[lo:hi]
-            n = lens[own]
-            first = np.cumsum(n) - n
-            pos = np.arange(int(n.sum())) - np.repeat(first, n)
-            byte = data[np.repeat(starts[own], n) + pos]
-            total = np.add.reduceat(_BYTE[byte] * _POW[pos], first)
-            out[own] = mix64(total + n.astype(np.uint64))
+        while lo < len(starts):
+            base = int(starts[lo])
+            hi = int(np.searchsorted(starts, base + SEGMENT - LONG_WORD, side="right"))
+            part = data[base:base + SEGMENT]
+            total = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(_BYTE[part] * _POW[:len(part)], out=total[1:])
+            s, e = starts[lo:hi] - base, np.minimum(ends[lo:hi] - base, len(part))
+            out[lo:hi] = mix64((total[e] - total[s]) * _UNPOW[s] + lens[lo:hi].astype(np.uint64))
             lo = hi
+    for i in long:
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i]:ends[i]].tobytes())
     return out
 
 
@@ -131,8 +142,9 @@ class Memo:
     """Values of distinct byte spans, computed once a worker.
 
     ``compute(list[bytes])`` gives one value array for each span (token ids,
-    feature sums). Spans are known by their 64-bit hash. Beyond ``limit``
-    spans the memo starts anew, so its memory is bounded.
+    feature sums). Spans are known by their 64-bit hash, probed in an
+    open-address table of which at most half is used. Beyond ``limit`` spans
+    the memo starts anew, so its memory is bounded.
     """
 
     def __init__(self, compute, dtype, limit: int = 400_000):
@@ -141,20 +153,58 @@ class Memo:
 
     def clear(self):
         self.keys = np.zeros(0, np.uint64)
-        self.start = np.zeros(0, np.int64)
-        self.count = np.zeros(0, np.int64)
+        self.start = np.zeros(0, np.int32)
+        self.count = np.zeros(0, np.int32)
         self.flat = np.zeros(0, self.dtype)
+        self._table(1 << 14)
+
+    def _table(self, slots: int):
+        self.slot_key, self.slot_at = np.zeros(slots, np.uint64), np.zeros(slots, np.int32)
+        self._place(self.keys, 0)
+
+    def _place(self, keys, first):
+        mask = np.uint64(len(self.slot_key) - 1)
+        at, slot = np.arange(first, first + len(keys), dtype=np.int32), (keys & mask).astype(np.int64)
+        while len(keys):
+            free = self.slot_key[slot] == 0
+            self.slot_key[slot[free]] = keys[free]
+            done = self.slot_key[slot] == keys
+            self.slot_at[slot[done]] = at[done]
+            keys, at = keys[~done], at[~done]
+            slot = (slot[~done] + 1) & int(mask)
+
+    def _find(self, hashes):
+        """Place of every hash among the known ones, -1 if it is new."""
+        mask = len(self.slot_key) - 1
+        slot = (hashes & np.uint64(mask)).astype(np.int64)
+        key = self.slot_key[slot]
+        at = np.where(key == hashes, self.slot_at[slot], -1)
+        left = np.flatnonzero((key != hashes) & (key != 0))
+        slot = slot[left]
+        while len(left):
+            slot = (slot + 1) & mask
+            key = self.slot_key[slot]
+            hit = key == hashes[left]
+            at[left[hit]] = self.slot_at[slot[hit]]
+            on = ~hit & (key != 0)
+            left, slot = left[on], slot[on]
+        return at
 
     def _add(self, keys, spans):
         values = self.compute(spans)
         count = np.fromiter(map(len, values), np.int64, len(values))
         flat = np.concatenate([np.asarray(v, self.dtype) for v in values]) if len(values) else self.flat[:0]
         start = len(self.flat) + np.cumsum(count) - count
-        at = np.searchsorted(self.keys, keys)
-        self.keys = np.insert(self.keys, at, keys)
-        self.start = np.insert(self.start, at, start)
-        self.count = np.insert(self.count, at, count)
+        width = np.int64 if len(self.flat) + len(flat) > 1 << 31 else np.int32
+        self.start = np.concatenate([self.start, start.astype(width)])
+        self.count = np.concatenate([self.count, count.astype(np.int32)])
         self.flat = np.concatenate([self.flat, flat])
+        first = len(self.keys)
+        self.keys = np.concatenate([self.keys, keys])
+        if 2 * len(self.keys) > len(self.slot_key):
+            self._table(1 << (2 * len(self.keys)).bit_length())
+        else:
+            self._place(keys, first)
 
     def values(self, data, starts, ends, salt: int = 0):
         """(flat values, values of each span) for the spans of a chunk."""
@@ -163,20 +213,19 @@ class Memo:
         hashes = hash_spans(data, starts, ends)
         if salt:
             hashes = mix64(hashes + np.uint64(salt))
-        uniq, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.keys) + len(uniq) > self.limit and len(self.keys):
-            self.clear()
-        at = np.searchsorted(self.keys, uniq)
-        known = np.zeros(len(uniq), bool)
-        if len(self.keys):
-            known = self.keys[np.minimum(at, len(self.keys) - 1)] == uniq
-        if not known.all():
-            new = np.flatnonzero(~known)
-            self._add(uniq[new], [data[s:e].tobytes() for s, e in
-                                  zip(starts[first[new]].tolist(), ends[first[new]].tolist())])
-            at = np.searchsorted(self.keys, uniq)
-        at = at[inverse.ravel()]
-        count = self.count[at]
+        hashes[hashes == 0] = 1
+        at = self._find(hashes)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            uniq, first = np.unique(hashes[new], return_index=True)
+            if len(self.keys) + len(uniq) > self.limit and len(self.keys):
+                self.clear()
+                new = np.arange(len(hashes))
+                uniq, first = np.unique(hashes, return_index=True)
+            own = new[first]
+            self._add(uniq, [data[s:e].tobytes() for s, e in zip(starts[own].tolist(), ends[own].tolist())])
+            at[new] = self._find(hashes[new])
+        count = self.count[at].astype(np.int64)
         done = np.cumsum(count)
         index = np.repeat(self.start[at] - (done - count), count) + np.arange(int(done[-1]))
         return self.flat[index], count

@@ -98,6 +98,8 @@ def piece_cuts(low: np.ndarray) -> np.ndarray:
     return cut
 
 
+#: Pieces whose ids a worker remembers: about 60 MB.
+KNOWN_PIECES = 1_000_000
 _MEMOS: dict = {}
 
 
@@ -112,7 +114,7 @@ def _memo(path: str) -> Memo:
             encoded = tokenizer.encode_batch_fast([s.decode("utf-8") for s in spans], add_special_tokens=False)
             return [e.ids for e in encoded]
 
-        _MEMOS[path] = Memo(compute, np.uint32)
+        _MEMOS[path] = Memo(compute, np.uint32, limit=KNOWN_PIECES)
     return _MEMOS[path]
 
 
