@@ -6,7 +6,7 @@ import functools
 
 from pyspark.sql import functions as F
 
-from campuslens.llm import ann, jaccard_join, mixing, passages, sentencepiece_codec, site_tree, token_blocks, token_counts, top_k, toxicity
+from campuslens.llm import ann, hard_negatives, jaccard_join, mixing, passages, sentencepiece_codec, site_tree, token_blocks, token_counts, top_k, toxicity
 from campuslens.llm.ship import ship
 
 QUERIES: dict = {}
@@ -123,6 +123,32 @@ def op9_nearest(spark, sf_dir):
     return ann.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
+@query("op12_hard_negatives", """
+WITH v AS (
+    SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+           CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10""")
+def op12_hard_negatives(spark, sf_dir):
+    """Ten negatives of every positive of every anchor, where a seventh of the labels are moved on."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, relabel=moved)
+
+
 @query("op6_toxicity")
 def op6_toxicity(spark, sf_dir):
     """Toxicity of every document; the fold ``held_out`` teaches nothing."""

@@ -5,12 +5,12 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def usable(df: DataFrame, key: str, column: str, allow_zero: bool) -> DataFrame:
-    """(vec_id long, vec array<double>) of the rows that take part.
+def usable(df: DataFrame, key: str, column: str, allow_zero: bool, *more: Column) -> DataFrame:
+    """(vec_id long, vec array<double>) of the rows that take part, and ``more`` of their columns.
 
     Left out: a null key, a null vector, a null or non-finite component and,
     unless ``allow_zero``, vectors of zeros only (or without components).
@@ -20,7 +20,7 @@ def usable(df: DataFrame, key: str, column: str, allow_zero: bool) -> DataFrame:
             & F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))))
     if not allow_zero:
         good = good & F.exists(vec, lambda x: x != 0.0)
-    return df.where(good).select(F.col(key).cast("long").alias("vec_id"), vec.alias("vec"))
+    return df.where(good).select(F.col(key).cast("long").alias("vec_id"), vec.alias("vec"), *more)
 
 
 def arrays(column) -> tuple[np.ndarray, np.ndarray]:
