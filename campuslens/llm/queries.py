@@ -6,7 +6,7 @@ import functools
 
 from pyspark.sql import functions as F
 
-from campuslens.llm import ann, hard_negatives, jaccard_join, mixing, passages, sentencepiece_codec, site_tree, token_blocks, token_counts, top_k, toxicity
+from campuslens.llm import ann, hard_negatives, jaccard_join, lexical, mixing, passages, sentencepiece_codec, site_tree, token_blocks, token_counts, top_k, toxicity
 from campuslens.llm.ship import ship
 
 QUERIES: dict = {}
@@ -149,6 +149,37 @@ def op12_hard_negatives(spark, sf_dir):
     return hard_negatives.hard_negatives(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, relabel=moved)
 
 
+@query("op13_lexical_search", """
+WITH d AS (
+    SELECT doc_id, row_number() OVER () AS r,
+           regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS t
+    FROM documents WHERE text IS NOT NULL),
+n AS (SELECT r, doc_id, CAST(len(t) AS BIGINT) AS n FROM d WHERE len(t) > 0),
+s AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM n),
+f AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM d) GROUP BY ALL),
+w AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(n_docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE)))
+                      AS BIGINT) AS w
+    FROM f, s GROUP BY term),
+i AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+    FROM benchmark WHERE text IS NOT NULL),
+m AS (SELECT r, doc_id, 100 - 50 + (50 * n * n_docs) // n_terms AS m FROM n, s),
+c AS (
+    SELECT i.item_id, f.r, CAST(sum(w.w * ((1000000000 * f.tf) // (1000 * f.tf + 20 * m.m))) AS BIGINT) AS score
+    FROM i JOIN w USING (term) JOIN f USING (term) JOIN m USING (r) GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+       doc_id, score
+FROM c JOIN n USING (r) WHERE score > 0 QUALIFY rank <= 50""")
+def op13_lexical_search(spark, sf_dir):
+    """The fifty highest-scoring documents of every benchmark item."""
+    return lexical.ranked(read(spark, sf_dir, "documents").select("doc_id", "text"),
+                          read(spark, sf_dir, "benchmark").select("item_id", "text"), 50)
+
+
 @query("op6_toxicity")
 def op6_toxicity(spark, sf_dir):
     """Toxicity of every document; the fold ``held_out`` teaches nothing."""

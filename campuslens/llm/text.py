@@ -68,24 +68,31 @@ def chunks(column, limit: int = CHUNK_BYTES):
         lo = hi
 
 
-def word_bounds(data: np.ndarray, off: np.ndarray, cut: np.ndarray | None = None):
-    """Starts and ends of the words of a chunk, and each row's first word.
+def spans(inside: np.ndarray, off: np.ndarray, cut: np.ndarray | None = None):
+    """Starts and ends of the runs of ``inside`` bytes of a chunk, and each row's first run.
 
-    ``cut`` marks bytes inside a word that begin a new piece.
+    ``cut`` marks bytes inside a run that begin a new one.
     """
-    inside = ~SPACE[data]
-    fresh = np.ones(len(data), bool)
+    fresh = np.ones(len(inside), bool)
     fresh[1:] = ~inside[:-1]
-    fresh[off[:-1][off[:-1] < len(data)]] = True
+    fresh[off[:-1][off[:-1] < len(inside)]] = True
     if cut is not None:
         fresh |= cut
     starts = np.flatnonzero(inside & fresh)
-    done = np.ones(len(data), bool)
+    done = np.ones(len(inside), bool)
     done[:-1] = ~inside[1:] | fresh[1:]
     ends = np.flatnonzero(inside & done) + 1
     return starts, ends, np.searchsorted(starts, off)
 
 
+def word_bounds(data: np.ndarray, off: np.ndarray, cut: np.ndarray | None = None):
+    """Starts and ends of the words of a chunk, and each row's first word.
+
+    ``cut`` marks bytes inside a word that begin a new piece.
+    """
+    return spans(~SPACE[data], off, cut)
+
+
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of byte spans; a function of the span's bytes alone.
 
