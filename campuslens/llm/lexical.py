@@ -412,6 +412,9 @@ def ranked(docs: DataFrame, items: DataFrame, k: int = 50) -> DataFrame:
         live = weight[term] > 0  # the others add nothing to any score
         term, row = term[live], row[live]
         asked = np.unique(row)
+        if not len(asked):  # no term of these items is in any document
+            parts.append(spark.createDataFrame([], f"item_id {kind}, rank int, doc_id long, score long"))
+            continue
         off = np.append(np.searchsorted(row, asked), len(row))
         block_items = Items(off, term, weight)
         seed = np.zeros(len(asked), np.int64)
