@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from campuslens.llm.text import LOWER, binary_rows, chunks, hash_spans, spans
+from campuslens.llm.text import LOWER, binary_rows, chunks, distinct, hash_spans, spans
 from campuslens.llm.workspace import Workspace
 
 #: Bytes of a block's items, and the share of documents that seeds thresholds.
@@ -244,7 +244,7 @@ class Search:
         docs = tree.order[tree.first[node]:tree.last[node]]
         at = _ranges(items.off[own], items.off[own + 1])
         whose = np.repeat(np.arange(len(own)), items.off[own + 1] - items.off[own])
-        used = np.unique(items.term[at])
+        used = distinct(items.term[at])
         self.column[used] = np.arange(len(used))
         kind = np.float64 if items.exact else np.int64
         weights = np.zeros((len(used), len(own)), kind)

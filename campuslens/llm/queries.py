@@ -6,7 +6,7 @@ import functools
 
 from pyspark.sql import functions as F
 
-from campuslens.llm import ann, hard_negatives, jaccard_join, lexical, mixing, passages, sentencepiece_codec, site_tree, token_blocks, token_counts, top_k, toxicity
+from campuslens.llm import ann, hard_negatives, jaccard_join, lexical, mixing, passages, quality, sentencepiece_codec, site_tree, token_blocks, token_counts, top_k, toxicity
 from campuslens.llm.ship import ship
 
 QUERIES: dict = {}
@@ -188,6 +188,14 @@ def op6_toxicity(spark, sf_dir):
     return toxicity.score(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 
+@query("op11_quality")
+def op11_quality(spark, sf_dir):
+    """Quality of every document; the fold ``held_out`` teaches nothing."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    model = quality.train(docs, read(spark, sf_dir, "labels"), ~toxicity.held_out())
+    return quality.score(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
 @query("op7_main_text")
 def op7_main_text(spark, sf_dir):
     """The article text of every page."""

@@ -40,6 +40,14 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The different values in order, by one sort."""
+    x = np.sort(x)
+    fresh = np.ones(len(x), bool)
+    fresh[1:] = x[1:] != x[:-1]
+    return x[fresh]
+
+
 def utf8(column) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets of an Arrow string column; nulls become empty."""
     if isinstance(column, pa.ChunkedArray):

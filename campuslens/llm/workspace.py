@@ -25,3 +25,7 @@ class Workspace:
         out = stage(df, f"{self.name}-result")
         remove(self.spark, self.root)
         return out
+
+    def drop(self) -> None:
+        """Delete the folder of a call that keeps none of its tables."""
+        remove(self.spark, self.root)
