@@ -24,7 +24,7 @@ hot key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from campuslens.functions.joins import CHECKED_BOUND
@@ -100,15 +100,36 @@ def assert_source_unique(source: DataFrame, key: str, within: list[str] = ()) ->
         raise ValueError(f"source has repeated {key} values; an upsert would duplicate target rows")
 
 
-def latest_per_key(source: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
+def latest_per_key(source: DataFrame, key: str, order_cols: list[str], within: list[str] | None = None,
+                   repeats: Observation | None = None) -> DataFrame:
     """Keep one source row per key: the last by ``order_cols`` (e.g. page, pos).
 
     ``max_by`` on a struct is a partial aggregate, so a key repeated in a
     third of all rows still shuffles one row per partition. Null keys match
     nothing, so all their rows are kept.
+
+    ``repeats`` observes, in the job that reads the result, the rows beyond
+    the first of each key (of each key and ``within``) as ``rows``: the
+    check needs no pass of its own. ``assert_no_repeats`` reads it.
     """
     others = [c for c in source.columns if c != key]
-    picked = (source.where(F.col(key).isNotNull()).groupBy(key)
-              .agg(F.max_by(F.struct(*others), F.struct(*order_cols)).alias("_row")))
+    latest = lambda df, *more: df.agg(
+        F.max_by(F.struct(*others), F.struct(*order_cols)).alias("_row"), *more)
+    keyed = source.where(F.col(key).isNotNull())
+    if repeats is None:
+        picked = latest(keyed.groupBy(key))
+    else:
+        count = F.count(F.lit(1)).alias("_rows")
+        picked = latest(keyed.groupBy(key, *[F.col(c).alias(f"_in_{c}") for c in within or []]), count)
+        picked = picked.observe(repeats, F.sum(F.col("_rows") - 1).alias("rows"))
+        if within:
+            last = F.struct(*[F.col("_row").getField(c) for c in order_cols])
+            picked = picked.groupBy(key).agg(F.max_by("_row", last).alias("_row"))
     return (picked.select(key, "_row.*").select(*source.columns)
             .unionByName(source.where(F.col(key).isNull())))
+
+
+def assert_no_repeats(repeats: Observation, key: str) -> None:
+    """Raise if the observed source repeated a key (its upsert would duplicate a target row)."""
+    if repeats.get.get("rows"):
+        raise ValueError(f"source has repeated {key} values; an upsert would duplicate target rows")

@@ -673,3 +673,9 @@ def incremental_upsert(spark, sf):
         PG.land_pages(school_raw(spark, sf, **L.run_window(run)), f"{landing}/run=z_{run}")
     tables = run_available(spark, landing, state, ckpt, ["run"])
     return tables.current("university").select(*FACT_COLUMNS)
+
+
+# ---------------------------------------------------------------------------
+# Slicers, SQL functions, hand-offs, live sources: their modules register here.
+# ---------------------------------------------------------------------------
+from campuslens.plans import catalog_live, catalog_sliced  # noqa: E402, F401

@@ -122,6 +122,19 @@ def schools_by_program(fact: DataFrame, dim_program: DataFrame) -> DataFrame:
         "program_id", "program_name", "schools", "avg_in_state_tuition")
 
 
+def schools_of_types(fact: DataFrame, types: DataFrame) -> DataFrame:
+    """Schools and zero-excluding average tuition by program type and state, for the given types only.
+
+    ``types`` is a filtered dimension (bounded by its labels, broadcast if
+    its counted rows allow it). A fact laid out by ``program_type_id`` is
+    read in the folders of those types alone.
+    """
+    kept = fact.join(broadcast_if_bounded(types, CHECKED_BOUND), "program_type_id")
+    return kept.groupBy("program_type", "state").agg(
+        F.count(F.lit(1)).alias("schools"),
+        rounded(avg_excluding_zero(F.col("in_state_tuition"))).alias("avg_in_state_tuition"))
+
+
 def card_avg_credit_hours(courses: DataFrame) -> DataFrame:
     """Average over courses; ``n``, where present, says how many a row stands for."""
     n = F.col("n") if "n" in courses.columns else F.lit(1)

@@ -57,11 +57,16 @@ def land_empty_pages(spark: SparkSession, path: str, after_page: DataFrame) -> N
 
 
 def unnest_pages(pages: DataFrame) -> DataFrame:
-    """One row per record of page rows (``page``, ``results``, partition levels)."""
-    levels = [c for c in pages.columns if c not in ("results", "page")]
-    return (pages.select(*levels, F.col("page").cast("long").alias("page"),
+    """One row per record of page rows (``page``, ``results``, partition levels).
+
+    ``start``, where present, is the place of the first record on its page
+    (a stream may resume within one).
+    """
+    levels = [c for c in pages.columns if c not in ("results", "page", "start")]
+    start = F.col("start") if "start" in pages.columns else F.lit(0)
+    return (pages.select(*levels, F.col("page").cast("long").alias("page"), start.cast("long").alias("_start"),
                          F.posexplode("results").alias("pos", "record"))
-            .select(*levels, "page", F.col("pos").cast("long").alias("pos"), "record.*"))
+            .select(*levels, "page", (F.col("_start") + F.col("pos")).alias("pos"), "record.*"))
 
 
 def read_pages(spark: SparkSession, path: str, fields: list[str] | None = None) -> DataFrame:

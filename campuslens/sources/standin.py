@@ -16,9 +16,13 @@ file statistics.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from campuslens.functions.ids import global_position
+from campuslens.schemas import API_FIELDS
 from campuslens.session import session_key, table
 
 # Two loads: orders before 1997 and from 1997 on, so that together they read
@@ -186,3 +190,46 @@ def course(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_size").alias("credit_hours"),
         F.col("p_retailprice").alias("tuition"),
     )
+
+
+PAGE_RECORDS = 100
+
+
+def _write_bodies(folder: str):
+    def write(rows):
+        for row in rows:
+            path = os.path.join(folder, row["slice"], f"page-{row['page']}.json")
+            os.makedirs(os.path.dirname(path), exist_ok=True)
+            with open(f"{path}.{os.getpid()}", "w", encoding="utf-8") as f:
+                f.write(row["body"])
+            os.replace(f.name, path)  # a retried task leaves the same page
+    return write
+
+
+def serve_api(raw: DataFrame, folder: str, by: str | None = None) -> str:
+    """Lay ``raw`` records out as the API answers them: a file a page, 100 records a page, by school_id.
+
+    Under ``all`` lies the whole sequence; with ``by`` also, under each value
+    of that column (few labels), the sequence of its records. The folder must
+    be one that the driver and all executors share as a file system, since
+    the url ``file://<folder>/...`` stands in for the API. Returns the url.
+    """
+    folder = folder.removeprefix("file://").removeprefix("file:")
+    if "://" in folder:
+        raise ValueError("the stand-in for the API needs a shared folder with a file path")
+    whole = global_position(raw.drop("page", "pos"), [F.col("school_id")], "place").withColumn("slice", F.lit("all"))
+    parts = [whole]
+    if by is not None:
+        named = global_position(raw.drop("page", "pos").where(F.col(by).isNotNull()),
+                                [F.col(by), F.col("school_id")], "place")
+        first = named.groupBy(F.col(by).alias("slice")).agg(F.min("place").alias("first"))  # a row a label
+        parts.append(named.join(F.broadcast(first), F.col(by) == F.col("slice"))
+                     .withColumn("place", F.col("place") - F.col("first") + 1).drop("first"))
+    record = F.struct(*[F.col(plain).alias(key) for key, plain, _ in API_FIELDS])
+    for part in parts:
+        (part.select("slice", F.floor((F.col("place") - 1) / PAGE_RECORDS).alias("page"), "place", record.alias("record"))
+         .groupBy("slice", "page")
+         .agg(F.to_json(F.struct(F.transform(F.sort_array(F.collect_list(F.struct("place", "record"))),
+                                             lambda e: e["record"]).alias("results"))).alias("body"))
+         .foreachPartition(_write_bodies(folder)))
+    return f"file://{folder}"

@@ -25,16 +25,17 @@ from __future__ import annotations
 import threading
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from campuslens.operators.decode import decode, flatten_record
 from campuslens.operators.rank import TOP_K
-from campuslens.operators.upsert import assert_source_unique, latest_per_key
+from campuslens.operators.upsert import assert_no_repeats, latest_per_key
 from campuslens.plans import load as L
+from campuslens.sources.api import stream_pages
 from campuslens.sources.pages import unnest_pages
-from campuslens.schemas import (DIM_PROGRAM_SCHEMA, DIM_PROGRAM_TYPE_SCHEMA,
+from campuslens.schemas import (API_FIELDS, DIM_PROGRAM_SCHEMA, DIM_PROGRAM_TYPE_SCHEMA,
                                 STORED_FACT_SCHEMA, page_schema)
 from campuslens.session import remove, scratch_path, stage
 
@@ -150,26 +151,40 @@ def process_batch(tables: VersionedTables, batch: DataFrame, batch_id: int, quer
     (``"latest"``). This is decided before ranking, so a repeat can never
     take two top-k places.
     """
+    levels = [c for c in batch.columns if c not in ("page", "start", "results")]
+    load_records(tables, flatten_record(unnest_pages(batch)), levels, batch_id, query_id, k, on_repeat)
+
+
+def load_records(tables: VersionedTables, records: DataFrame, levels: list[str], batch_id: int, query_id: str,
+                 k: int = TOP_K, on_repeat: str = "raise") -> None:
+    """Rank, cut, fill and load raw records (partition levels, page, pos) as one commit.
+
+    Repeats are observed by the job that writes the top-k: a batch that has
+    some is given up before anything of it is committed.
+    """
     log = tables.log()
     if any(r.query == query_id and r.batch == batch_id for r in log):
         return
     version = log[-1].version + 1 if log else 0
-    levels = [c for c in batch.columns if c not in ("page", "results")]
-    # The parsed batch and its top-k (at most k rows) are read by several
-    # steps: staged in the shared folder, each is computed once and survives
-    # the loss of an executor. Both go when the batch is committed.
+    # The top-k (at most k rows) is read by several steps: staged in the
+    # shared folder, it is computed once and survives the loss of an
+    # executor. It goes when the batch is committed.
     scratch = scratch_path(tables.spark, "batch")
-    parsed = stage(flatten_record(unnest_pages(batch)), path=f"{scratch}/parsed")
+    repeats = Observation()
+    latest = latest_per_key(records, "school_id", [*levels, "page", "pos"], levels, repeats)
+    top_df = stage(L.transform(decode(latest.drop(*levels)), k, flag=True), path=f"{scratch}/top")
     if on_repeat != "latest":
-        assert_source_unique(parsed, "school_id", levels)
-    records = latest_per_key(parsed, "school_id", [*levels, "page", "pos"]).drop(*levels)
-    top_df = stage(L.transform(decode(records), k, flag=True), path=f"{scratch}/top")
+        try:
+            assert_no_repeats(repeats, "school_id")
+        except ValueError:
+            remove(tables.spark, scratch)
+            raise
     touched = {r[0] for r in top_df.select(tables.bucket()).distinct().collect()}  # at most ``buckets`` rows
     # Dimensions are written first; the fact then takes its ids from the
     # stored versions (the same flow as a batch load).
     fact, _, _ = L.load(tables.current("university", log, touched),
                         *[tables.current(t, log) for t in TABLES[1:]], top_df,
-                        persist=lambda df, name: tables.write(version, name, df), k=k)
+                        persist=lambda df, name: tables.write(version, name, df), k=k, checked=True)
     if touched:
         tables.write_buckets(version, fact)
     layout = {e.bucket: e.version for e in log[-1].layout} if log else {}
@@ -177,24 +192,62 @@ def process_batch(tables: VersionedTables, batch: DataFrame, batch_id: int, quer
     remove(tables.spark, scratch)
 
 
-def run_available(spark: SparkSession, landing: str, state_root: str, checkpoint: str,
-                  levels: list[str], k: int = TOP_K, on_repeat: str = "raise",
-                  buckets: int = BUCKETS) -> VersionedTables:
-    """Process every page landed since the last run, then stop."""
-    tables = VersionedTables(spark, state_root, buckets)
-    stream = (spark.readStream.schema(landing_schema(levels))
-              .option("mode", "FAILFAST").json(landing))
+def run_stream(stream: DataFrame, checkpoint: str, load) -> None:
+    """Give what is there to ``load(batch, batch id, stream id)``, batch by batch, and stop."""
     started, stream_id = threading.Event(), []
 
-    def load(df, batch_id):
+    def each(df, batch_id):
         started.wait()
-        process_batch(tables, df, batch_id, stream_id[0], k, on_repeat)
+        load(df, batch_id, stream_id[0])
 
-    query = (stream.writeStream.foreachBatch(load)
+    query = (stream.writeStream.foreachBatch(each)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
              .start())
     stream_id.append(str(query.id))  # kept in the checkpoint, so a restarted stream has the same
     started.set()
     query.awaitTermination()
+
+
+def landed(spark: SparkSession, landing: str, levels: list[str]) -> DataFrame:
+    """The pages landed under a root, as a stream."""
+    return (spark.readStream.schema(landing_schema(levels))
+            .option("mode", "FAILFAST").json(landing))
+
+
+def run_available(spark: SparkSession, landing: str, state_root: str, checkpoint: str,
+                  levels: list[str], k: int = TOP_K, on_repeat: str = "raise",
+                  buckets: int = BUCKETS) -> VersionedTables:
+    """Process every page landed since the last run, then stop."""
+    tables = VersionedTables(spark, state_root, buckets)
+    run_stream(landed(spark, landing, levels), checkpoint,
+               lambda df, batch, query: process_batch(tables, df, batch, query, k, on_repeat))
     return tables
+
+
+def run_live(spark: SparkSession, url: str, state_root: str, checkpoint: str, k: int = TOP_K,
+             on_repeat: str = "raise", buckets: int = BUCKETS, **options) -> VersionedTables:
+    """Load every record that the API has added since the last run, then stop.
+
+    The stream's offset is the next record of the API's sequence, so nothing
+    is landed in between, no page is lost and none is read twice.
+    """
+    tables = VersionedTables(spark, state_root, buckets)
+    run_stream(stream_pages(spark, url, **options), checkpoint,
+               lambda df, batch, query: process_batch(tables, df, batch, query, k, on_repeat))
+    return tables
+
+
+def ingest_live(spark: SparkSession, url: str, out: str, checkpoint: str, **options) -> DataFrame:
+    """Append the API's new records to the Parquet folder ``out``; all ingested so far are returned.
+
+    A batch has a folder of its own, which a replay after a failure writes
+    again.
+    """
+    def append(df, batch, query):
+        flatten_record(unnest_pages(df)).write.mode("overwrite").parquet(f"{out}/batch={query}-{batch}")
+
+    run_stream(stream_pages(spark, url, **options), checkpoint, append)
+    schema = T.StructType([*[T.StructField(plain, kind) for _, plain, kind in API_FIELDS],
+                           T.StructField("page", T.LongType()), T.StructField("pos", T.LongType())])
+    return spark.read.schema(schema).parquet(out)

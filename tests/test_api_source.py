@@ -93,9 +93,9 @@ def test_landing_counts_against_the_total(spark, tmp_path):
 
 
 def test_fields_page_size_and_key_are_in_the_request():
-    from campuslens.sources.api import SchoolPagesReader
+    from campuslens.sources.api import Requests
 
-    reader = SchoolPagesReader.__new__(SchoolPagesReader)
+    reader = Requests({"url": ""}, [])
     reader.url, reader.per_page, reader.api_key, reader.fields = "https://x.example/s?page={page}", 20, "k", ["id", "school.name"]
     assert reader.page_url(3) == "https://x.example/s?page=3&fields=id%2Cschool.name&per_page=20&api_key=k"
     reader.url = "file:///tmp/{page}-{fields}-{per_page}.json"
