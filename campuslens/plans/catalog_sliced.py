@@ -85,7 +85,7 @@ def sliced_distinct_cards(spark, sf):
 @query("program_type_page", f"{ALL_FACT} SELECT dt.program_type, u.state, count(*) AS schools,"
        " round(avg(nullif(u.in_state_tuition, 0)), 6) AS avg_in_state_tuition"
        " FROM university u JOIN dim_program_type dt ON u.program_type_id = dt.program_type_id"
-       " WHERE dt.program_type LIKE '%year%' GROUP BY 1, 2")
+       " WHERE dt.program_type LIKE '%selective%' GROUP BY 1, 2")
 def program_type_page(spark, sf):
     """Schools by state for the program types that a text filter finds.
 
@@ -95,7 +95,7 @@ def program_type_page(spark, sf):
     fact, _, dim_type = L.full_load_tables(spark, sf, columns=["state", "in_state_tuition"])
     stored = store_partitioned(fact, "program_type_id", "university")
     dim = L.stage(dim_type, "dim")
-    return DB.schools_of_types(stored, dim.where(F.col("program_type").contains("year")))
+    return DB.schools_of_types(stored, dim.where(F.col("program_type").contains("selective")))
 
 
 def _functions(spark, sf, ids=False, courses=False):

@@ -115,8 +115,9 @@ def statements(p: str, types: dict[str, str]) -> dict[str, str]:
             f" LEFT JOIN {p}programs d ON a.program_id = d.program_id"),
         "avg_credit_hours": (
             SLICERS, "avg_credit_hours DOUBLE, courses BIGINT",
-            f"SELECT {_avg('CAST(c.credit_hours AS DOUBLE)')}, count(*) FROM {c} WHERE (states IS NULL AND school_types"
-            f" IS NULL) OR EXISTS (SELECT 1 FROM {f} WHERE f.school_id = c.school_id AND {SLICED})"),
+            f"SELECT {_avg('CAST(c.credit_hours AS DOUBLE)')}, count(*) FROM {c} LEFT JOIN (SELECT f.school_id,"
+            f" true AS kept FROM {f} WHERE {SLICED}) s ON s.school_id = c.school_id"
+            " WHERE (states IS NULL AND school_types IS NULL) OR s.kept"),
         "top_departments": (
             "n INT DEFAULT 10", "department STRING, courses BIGINT, position INT",
             "SELECT * FROM (SELECT department, courses, CAST(row_number() OVER (ORDER BY courses DESC, department)"

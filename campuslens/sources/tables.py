@@ -64,9 +64,10 @@ def empty_clone(spark: SparkSession, schema: T.StructType, name: str) -> str:
 
     The view lies on a fresh Parquet folder of the shared location, so what
     an earlier view of the name holds is out of sight at once. ``INSERT``
-    checks columns and types against the schema (a missing or additional
-    column, or a value that does not fit safely, is an error and adds
-    nothing). Returns the folder.
+    checks against the schema: too few or too many columns, or a type that
+    does not fit safely, is an error and adds nothing. (``BY NAME``, SQL
+    takes an absent column as null; ``insert_rows`` does not.) Returns the
+    folder.
     """
     path = scratch_path(spark, name)
     spark.createDataFrame([], schema).write.parquet(path)
@@ -76,7 +77,10 @@ def empty_clone(spark: SparkSession, schema: T.StructType, name: str) -> str:
 
 
 def insert_rows(df: DataFrame, name: str) -> None:
-    """``INSERT INTO`` the view ``name``, columns matched by name."""
+    """``INSERT INTO`` the view ``name``, columns matched by name; an absent or additional one is an error."""
+    wanted = df.sparkSession.table(f"`{name}`").columns
+    if sorted(wanted) != sorted(df.columns):
+        raise ValueError(f"columns {df.columns} do not match those of {name}: {wanted}")
     df.sparkSession.sql(f"INSERT INTO `{name}` BY NAME SELECT * FROM {{rows}}", rows=df)
 
 
