@@ -30,8 +30,10 @@ nothing else is approximate, and no candidate is capped.
 Defined cases: a text of one to four words has its whole sequence as its
 one shingle; a null or empty text has no shingle, a component of its own and
 no links; a null doc_id keeps its row with a null component and takes no
-part; rows that share a doc_id are one document; repeated rows are kept;
-an empty table gives none; other columns are ignored.
+part; rows that share a doc_id but not the set of shingles are documents of
+their own (each links, and has its component, by its own text); rows equal
+in both have equal results; repeated rows are kept; an empty table gives
+none; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -360,7 +362,8 @@ def similarity_classes(docs: DataFrame) -> DataFrame:
                     .agg(F.min("doc_id").alias("rep"), F.countDistinct("doc_id").alias("copies")), "shingle-classes")
     members = (sets.where(F.col("tokens").isNotNull())
                .withColumnRenamed("least", "key").dropDuplicates(["sig"]).drop("doc_id"))
-    members = stage(members.join(classes, "sig"), "shingle-members")
+    # a set is known by its signature: doc_ids may belong to several
+    members = stage(members.join(classes.select("sig", "copies"), "sig").withColumn("rep", F.col("sig")), "shingle-members")
     # groups: the key, dealt further where it holds many sets or shingles
     sizes = (members.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.sum(F.length("tokens") / 8).alias("t"))
              .select("key", F.ceil(F.greatest(F.col("c") / GROUP_SETS, F.col("t") / GROUP_TOKENS)).alias("parts")))
@@ -387,9 +390,11 @@ def similarity_classes(docs: DataFrame) -> DataFrame:
                   .applyInArrow(_open_pair, "a long, b long, links long"), "shingle-links")
     joined = components(found.where(F.col("b").isNotNull()), stage)
     degree = found.where(F.col("b").isNull()).groupBy("a").agg(F.sum("links").alias("links"))
-    named = (classes.join(joined, F.col("rep") == F.col("node"), "left")
-             .join(degree, F.col("rep") == F.col("a"), "left")
-             .select("sig", "rep", F.coalesce("component", "rep").alias("component"),
+    linked = joined.join(classes, F.col("node") == F.col("sig")).select("node", "component", "rep")
+    least = linked.groupBy("component").agg(F.min("rep").alias("least"))
+    named = (classes.join(linked.select("node", "component").join(least, "component"), F.col("sig") == F.col("node"), "left")
+             .join(degree, F.col("sig") == F.col("a"), "left")
+             .select("sig", "rep", F.coalesce("least", "rep").alias("component"),
                      (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
     return work.result(
         sets.select("doc_id", "n", "sig").join(named, "sig", "left")

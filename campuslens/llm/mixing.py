@@ -26,6 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from campuslens.llm.columns import set_aside
 from campuslens.session import stage
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -70,7 +71,8 @@ def targets(sizes: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS) -> DataFram
 
 def mix(docs: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS, seed: str = SEED) -> DataFrame:
     """``docs`` with size, source_size, target and taken (words, repeats counted)."""
-    docs = docs.select(*[c for c in docs.columns if c not in OWN and not c.startswith("_")])
+    docs = docs.select(*["`" + c.replace("`", "``") + "`" for c in docs.columns if c not in OWN])
+    docs, names = set_aside(docs, ("doc_id", "source", "text"))[0], docs.columns
     rows = with_sizes(docs, seed)
     ranges = stage(rows.groupBy("source", "_range").agg(F.sum("size").alias("_words")), "mix-ranges")
     goal = targets(ranges.groupBy("source").agg(F.sum("_words").alias("source_size")), weights, epochs)
@@ -89,7 +91,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS, seed: str = SEED
     return (rows.join(ranges, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_range") == F.col("_own")))
             .withColumn("_inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
             .withColumn("taken", F.col("_whole") * F.col("size") + part)
-            .drop("_draw", "_range", "_source", "_own", "_whole", "_left", "_inside"))
+            .select(*docs.columns, *OWN).toDF(*names, *OWN))
 
 
 def repeat(mixed: DataFrame) -> DataFrame:
@@ -98,6 +100,7 @@ def repeat(mixed: DataFrame) -> DataFrame:
     A last, partial repetition holds the document's first words, and
     ``n_chars`` follows it.
     """
+    mixed, back = set_aside(mixed, ("size", "taken", "text", "n_chars"))
     whole = F.when(F.col("size") > 0, F.expr("taken div size")).otherwise(F.lit(0))
     part = F.when(F.col("size") > 0, F.expr("taken % size")).otherwise(F.lit(0))
     piece = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
@@ -111,4 +114,4 @@ def repeat(mixed: DataFrame) -> DataFrame:
     if "n_chars" in mixed.columns:
         rows = rows.withColumn("n_chars", F.when(F.col("_copy") == 0, F.length("text").cast(mixed.schema["n_chars"].dataType))
                                .otherwise(F.col("n_chars")))
-    return rows.drop("_whole", "_part", "_copy")
+    return back(rows)

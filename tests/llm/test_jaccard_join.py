@@ -106,3 +106,11 @@ def test_components(spark, edges):
         parent[max(x, y)] = min(x, y)
     linked = {n for a, b in edges if a != b for n in (a, b)}
     assert got == {n: top(n) for n in linked}
+
+
+def test_rows_that_share_an_id_link_by_their_own_texts(spark):
+    text = lambda k: " ".join(f"t{k}w{i}" for i in range(40))
+    rows = [(3, text(1)), (5, text(1) + " x"), (5, text(2)), (7, text(2) + " x"), (5, text(3)), (9, text(3) + " y"), (11, text(4))]
+    got = J.similarity_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == [
+        (3, 3), (5, 3), (5, 5), (5, 5), (7, 5), (9, 5), (11, 11)]

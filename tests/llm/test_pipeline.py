@@ -67,3 +67,31 @@ def test_the_mix_takes_whole_texts(spark):
     for source, goal in goals.items():
         words = sum(len(r["text"].split()) for r in mixed if r["source"] == source)
         assert abs(words - goal["target"]) <= 2501
+
+
+def test_columns_of_any_name_pass_every_stage(spark):
+    extra = ["_x", "_range", "_spans", "_doc", "size", "source_size", "target", "taken", "score", "predicted", "row",
+             "component", "_whole", "x1", "a.b", "held"]
+    rows = [(d, " ".join(f"w{d}x{k}" for k in range(30)), "en", "ab"[d % 2], 100 + d, *[f"{c}-{d}" for c in extra])
+            for d in range(24)]
+    rows += [(100 + d, r[1], *r[2:]) for d, r in enumerate(rows[:4])]
+    schema = DOCS + ", " + ", ".join(f"`{c}` string" for c in extra)
+    docs = spark.createDataFrame(rows, schema)
+    given = {r[0]: r for r in rows}
+    for name, step in C.STAGES[:-1]:
+        out = step(spark, docs, SF)
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes, name
+        got = [tuple(r) for r in out.collect()]
+        assert got and all(r == given[r[0]] for r in got if name != "passages"), name
+        assert all(r[5:] == given[r[0]][5:] for r in got), name
+
+
+def test_rows_that_share_an_id_are_judged_by_their_own_texts(spark):
+    text = lambda k, n=40: " ".join(f"t{k}w{i}" for i in range(n))
+    rows = [(7, text(1), "en", "a", 1), (7, text(2), "en", "a", 2), (7, text(2), "en", "b", 3), (5, text(2), "en", "a", 4),
+            (9, text(3) + " end", "en", "a", 5), (9, text(4), "en", "a", 6), (8, text(3), "en", "a", 7),
+            (None, text(1), "en", "a", 8), (6, None, "en", "a", 9), (6, None, "fr", "a", 10)]
+    kept = C.drop_near_copies(spark, spark.createDataFrame(rows, DOCS).repartition(3), SF).collect()
+    assert sorted((str(r["doc_id"]), r["n_chars"]) for r in kept if r["doc_id"] != 6) == [
+        ("5", 4), ("7", 1), ("8", 7), ("9", 6), ("None", 8)]
+    assert len([r for r in kept if r["doc_id"] == 6]) == 1
