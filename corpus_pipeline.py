@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from campuslens.llm import jaccard_join, mixing, passages, sentencepiece_codec, toxicity
+from campuslens.llm.columns import set_aside
 from campuslens.llm.queries import read, tokenizer_file
 from campuslens.llm.ship import ship
 from campuslens.session import scratch_path, stage
@@ -25,16 +26,29 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model does not reject."""
     ship(spark)
     model = toxicity.train(docs, read(spark, sf_dir, "labels"), ~toxicity.held_out())
-    return toxicity.score(docs, model).where("predicted = 0").select(*docs.columns)
+    inner, back = set_aside(docs, ("text",))
+    return back(toxicity.score(inner, model).where("predicted = 0"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near-duplicates: the smallest doc_id."""
+    """One document of each component of near-duplicates: the one of the smallest doc_id.
+
+    A document is a doc_id with a text, known by a hash of both, so of rows
+    that share a doc_id each is kept or dropped by its own text. Of rows
+    equal in both, the first by a hash of all columns stays.
+    """
     ship(spark)
-    classes = stage(jaccard_join.similarity_classes(docs).select("doc_id", "component_id"), "near-copies")
-    gone = classes.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.where(F.col("doc_id").isNotNull()).join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).union(docs.where(F.col("doc_id").isNull()))
+    inner, back = set_aside(docs, ("doc_id", "text"))
+    rows = inner.withColumn("row", F.xxhash64("doc_id", "text"))
+    known = rows.where(F.col("doc_id").isNotNull())
+    classes = stage(jaccard_join.similarity_classes(known.select(F.col("row").alias("doc_id"), "text"))
+                    .select(F.col("doc_id").alias("row"), F.col("component_id").alias("component")).distinct(), "near-copies")
+    first = (known.select("row", "doc_id").distinct().join(classes, "row")
+             .groupBy("component").agg(F.min(F.struct("doc_id", "row")).alias("first")).select("first.row"))
+    kept = known.join(first, "row", "left_semi")
+    others = [F.to_json(F.struct(F.col(c))) for c in inner.columns if c not in ("doc_id", "text")]
+    kept = kept.groupBy("row").agg(F.min_by(F.struct(*inner.columns), F.xxhash64(F.lit(0), *others)).alias("kept"))
+    return back(kept.select("kept.*").union(inner.where(F.col("doc_id").isNull())))
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,8 +64,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     half of it or more, so a source is off its target by half a document at most.
     """
     times = F.expr("(2 * taken + size) div (2 * size)")
-    mixed = mixing.mix(docs).withColumn("taken", F.when(F.col("size") > 0, times * F.col("size")).otherwise(F.lit(0)))
-    return mixing.repeat(mixed).select(*docs.columns)
+    inner, back = set_aside(docs, ("doc_id", "source", "text", "n_chars"))
+    mixed = mixing.mix(inner).withColumn("taken", F.when(F.col("size") > 0, times * F.col("size")).otherwise(F.lit(0)))
+    return back(mixing.repeat(mixed))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
