@@ -99,9 +99,9 @@ def test_nearest_recall_with_a_deep_forest_and_unequal_norms(spark):
     x = (centres[rng.integers(0, 20, 3000)] + 0.3 * rng.standard_normal((3000, 16))) * rng.uniform(0.5, 2, (3000, 1))
     docs = spark.createDataFrame([(int(i), [float(c) for c in v], "x", 1, "y") for i, v in enumerate(x)]
                                  + [(None, [1.0] * 16, "", 0, ""), (4000, [0.0] * 16, "", 0, ""),
-                                    (4020, [NAN] * 16, "", 0, ""), (4040, [1.0], "", 0, ""), (3, [float(c) for c in x[3]], "", 0, "")],
+                                    (4020, [NAN] * 16, "", 0, ""), (4040, [1.0], "", 0, ""), (4041, [2.0], "", 0, ""), (3, [float(c) for c in x[3]], "", 0, "")],
                                  SCHEMA)
-    got = ann.nearest(docs, F.col("vec_id") % 20 == 0, 20, leaf=64, sample=1000).toPandas()
+    got = ann.nearest(docs, F.col("vec_id") % 20 == 0, 20, leaf=32, sample=1000).toPandas()
     stored = x.astype(np.float32).astype(float)
     hits = 0
     for q in range(0, 3000, 20):
@@ -110,10 +110,76 @@ def test_nearest_recall_with_a_deep_forest_and_unequal_norms(spark):
         own = got[got.query_id == q]
         assert len(own) == 20 and own.vec_id.is_unique
         hits += len(set(np.argsort(-score)[:20].tolist()) & set(own.vec_id.tolist()))
-    assert hits >= 0.9 * 20 * 150 and set(got.query_id) == set(range(0, 3000, 20))
+    assert hits >= 0.9 * 20 * 150 and set(got.query_id) == {*range(0, 3000, 20), 4040}
+    assert got[got.query_id == 4040].vec_id.tolist() == [4041]
 
 
 def test_few_vectors_give_all_candidates(spark):
     docs = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [-1.0, 0.5])], "vec_id long, embedding array<float>")
     got = ann.nearest(docs, F.col("vec_id") == 0, 20).collect()
     assert [(r["rank"], r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"])] == [(1, 1, 1.0), (2, 2, -1.0)]
+
+
+def test_every_length_is_searched(spark, monkeypatch):
+    monkeypatch.setattr(ann, "SHARD_ROWS", 50)
+    monkeypatch.setattr(ann, "FORESTS", 2)
+    rng = np.random.default_rng(2)
+    rows = [(int(i), [float(c) for c in rng.standard_normal(d)])
+            for i, d in enumerate([4] * 400 + [2] * 300 + [3] * 40 + [1] * 3)]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    got = ann.nearest(docs, F.col("vec_id") % 20 == 0, 5, leaf=16).toPandas()
+    vectors = {i: np.array(v, np.float32).astype(float) for i, v in rows}
+    hits = n = 0
+    for q in range(0, len(rows), 20):
+        own = got[got.query_id == q].sort_values("rank")
+        near = sorted((-float(vectors[q] @ x), i) for i, x in vectors.items() if i != q and len(x) == len(vectors[q]))[:5]
+        assert len(own) == len(near) and {len(vectors[i]) for i in own.vec_id} <= {len(vectors[q])}
+        hits, n = hits + len({i for _, i in near} & set(own.vec_id)), n + len(near)
+        if len(vectors[q]) not in (4, 2):  # without a forest: exhaustive
+            assert own.vec_id.tolist() == [i for _, i in near]
+    assert hits >= 0.9 * n
+
+
+def test_repeated_ids_take_one_place(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0])] + [(5, [0.9, 0.01 * i]) for i in range(60)] + [(i, [0.5, 0.1]) for i in range(6, 30)]
+    docs = spark.createDataFrame(rows + rows, "vec_id long, embedding array<double>")
+    got = ann.nearest(docs, F.col("vec_id") == 0, 3).collect()  # the smaller vector asks: (0, 1)
+    assert [(r["rank"], r["vec_id"]) for r in sorted(got, key=lambda r: r["rank"])] == [(1, 5), (2, 6), (3, 7)]
+
+
+def test_leaves_open_in_the_order_of_a_queue():
+    import heapq
+
+    rng = np.random.default_rng(4)
+    x, q = rng.standard_normal((800, 10)), rng.standard_normal((20, 10))
+    forest = ann.Forest(x, 3, 20, 1)
+    rows = np.bincount(forest.leaves_of(x).ravel(), minlength=forest.leaves)
+    shares = forest.shares(q, rows)
+    for i in range(20):
+        queue, order = [(0.0, t, tree.root) for t, tree in enumerate(forest.trees)], []
+        while queue:
+            cost, t, node = heapq.heappop(queue)
+            if node < 0:
+                order.append(int(forest.first[t]) - node - 1)
+                continue
+            tree = forest.trees[t]
+            margin = float(tree.normals[node] @ q[i] - tree.offsets[node])
+            for child, beyond in zip(tree.children[node].tolist(), (max(margin, 0.0), max(-margin, 0.0))):
+                heapq.heappush(queue, (cost + beyond ** 2, t, child))
+        assert (np.diff(shares[i][order]) > 0).mean() > 0.99  # ties of equal cost aside
+        assert np.allclose(sorted(shares[i]), np.cumsum(rows[np.argsort(shares[i])]) / 800)
+
+
+def test_clustered_vectors_need_few_rows():
+    rng = np.random.default_rng(7)
+    centres = rng.standard_normal((50, 32))
+    clustered = centres[rng.integers(0, 50, 4000)] + 0.15 * rng.standard_normal((4000, 32))
+    even = rng.standard_normal((4000, 32))
+    need = []
+    for x in (clustered, even):
+        largest = float(np.linalg.norm(x, axis=1).max())
+        lifted = ann.lift(x, largest)
+        forest = ann.Forest(lifted, 4, 32, 1)
+        some = np.arange(0, 4000, 40)
+        need.append(forest.measured(lifted, some, ann.aim(x[some], largest), 20, 0.95))
+    assert need[0] < 0.3 < 0.6 < need[1]
