@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from campuslens.llm.components import components
-from campuslens.llm.text import LOWER, binary_rows, chunks, hash_spans, mix64, shingle_hashes, word_bounds
+from campuslens.llm.text import LOWER, binary_rows, chunks, forget, hash_spans, mix64, shingle_hashes, word_bounds
 from campuslens.llm.workspace import Workspace
 
 SHINGLE = 5
@@ -94,6 +94,7 @@ def _runs(docs: DataFrame, buckets: int) -> DataFrame:
     names = [c.split()[0] for c in _RUN.split(", ")]
 
     def run(batches):
+        forget()
         part, number = TaskContext.get().partitionId(), 0
         for batch in batches:
             ids = batch.column(0).to_pylist()

@@ -7,6 +7,8 @@ per-row and per-word work is numpy, not Python. White space is
 
 from __future__ import annotations
 
+import weakref
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -153,6 +155,16 @@ def shingle_hashes(words: np.ndarray, row_words: np.ndarray, size: int):
     return total, off
 
 
+_MEMOS: weakref.WeakSet = weakref.WeakSet()
+
+
+def forget() -> None:
+    """Empty every memo of this worker: an operator that has none makes room for its own arrays."""
+    for memo in list(_MEMOS):
+        memo.clear()
+    pa.default_memory_pool().release_unused()
+
+
 class Memo:
     """Values of distinct byte spans, computed once a worker.
 
@@ -165,6 +177,7 @@ class Memo:
     def __init__(self, compute, dtype, limit: int = 400_000):
         self.compute, self.dtype, self.limit = compute, dtype, limit
         self.clear()
+        _MEMOS.add(self)
 
     def clear(self):
         self.keys = np.zeros(0, np.uint64)
