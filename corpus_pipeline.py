@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from campuslens.llm import jaccard_join, mixing, passages, sentencepiece_codec, toxicity
 from campuslens.llm.columns import set_aside
@@ -33,22 +34,25 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near-duplicates: the one of the smallest doc_id.
 
-    A document is a doc_id with a text, known by a hash of both, so of rows
-    that share a doc_id each is kept or dropped by its own text. Of rows
-    equal in both, the first by a hash of all columns stays.
+    A document is a row, known by a hash of all its columns, so of rows that
+    share a doc_id each is kept or dropped by its own text. Of rows equal in
+    doc_id and text one stays.
     """
     ship(spark)
     inner, back = set_aside(docs, ("doc_id", "text"))
-    rows = inner.withColumn("row", F.xxhash64("doc_id", "text"))
+    others = [F.to_json(F.col(f.name)) if isinstance(f.dataType, (T.MapType, T.VariantType)) else F.col(f.name)
+              for f in inner.schema.fields]
+    rows = inner.withColumn("row", F.xxhash64(*others))
     known = rows.where(F.col("doc_id").isNotNull())
-    classes = stage(jaccard_join.similarity_classes(known.select(F.col("row").alias("doc_id"), "text"))
-                    .select(F.col("doc_id").alias("row"), F.col("component_id").alias("component")).distinct(), "near-copies")
-    first = (known.select("row", "doc_id").distinct().join(classes, "row")
-             .groupBy("component").agg(F.min(F.struct("doc_id", "row")).alias("first")).select("first.row"))
-    kept = known.join(first, "row", "left_semi")
-    others = [F.to_json(F.struct(F.col(c))) for c in inner.columns if c not in ("doc_id", "text")]
-    kept = kept.groupBy("row").agg(F.min_by(F.struct(*inner.columns), F.xxhash64(F.lit(0), *others)).alias("kept"))
-    return back(kept.select("kept.*").union(inner.where(F.col("doc_id").isNull())))
+    classes = (jaccard_join.similarity_classes(known.select(F.col("row").alias("doc_id"), "text"))
+               .select(F.col("doc_id").alias("row"), F.col("component_id").alias("component")).distinct())
+    # a text without words links with nothing, but its repeats are one document all the same
+    blank = F.when(~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]"), F.xxhash64("doc_id", "text"))
+    first = (known.select("row", "doc_id", blank.alias("blank")).distinct().join(classes, "row")
+             .groupBy(F.coalesce("blank", "component").alias("group"), F.col("blank").isNull().alias("linked"))
+             .agg(F.min(F.struct("doc_id", "row")).alias("first")).select("first.row"))
+    kept = known.join(stage(first, "near-copies"), "row", "left_semi").dropDuplicates(["row"])
+    return back(kept.select(*inner.columns).union(inner.where(F.col("doc_id").isNull())))
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
