@@ -47,7 +47,7 @@ from campuslens.llm.workspace import Workspace
 
 TREES = 4
 #: Rows of a leaf, sampled rows that a leaf is fitted on at least, and rows of the sample.
-LEAF = 64
+LEAF = 32
 LEAF_SAMPLE = 8
 SAMPLE = 32_768
 #: Lengths that get a forest.

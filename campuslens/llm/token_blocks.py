@@ -213,7 +213,7 @@ def write_blocks(docs: DataFrame, folder: str, tokenizer: str, vocab: int, end_i
                     ["part", "seq", "n_values", "doc_ids", "sizes", "payload"])
                 seq, lo = seq + 1, hi
 
-    (encoded.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
+    (encoded.repartitionByRange("doc_id", "ids").sortWithinPartitions("doc_id", "ids")
      .mapInArrow(run, "part int, seq int, n_values long, doc_ids array<long>, sizes array<long>, payload binary")
      .write.parquet(f"{folder}/blocks"))
 

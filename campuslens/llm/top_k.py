@@ -32,8 +32,10 @@ from pyspark.sql import functions as F
 
 from campuslens.llm.vectors import arrays, by_length, usable
 
-BLOCK_QUERIES = 512
-SHARD_ROWS = 4096
+#: Components of the largest shard (16 MB) and block, and rows of the smallest shard.
+SHARD_VALUES = 1 << 21
+BLOCK_VALUES = 1 << 19
+SHARD_ROWS = 1024
 PROBE_TERMS = 8
 
 
@@ -108,14 +110,19 @@ def top_k(df: DataFrame, is_query: Column, k: int, key: str = "vec_id", column:
     rows = (usable(df, key, column, allow_zero=True)
             .withColumn("vec", F.transform("vec", lambda x: F.floor(F.lit(float(scale)) * x))))
     queries = rows.where(is_query).dropDuplicates(["vec_id", "vec"])
-    size = rows.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(is_query, 1)).alias("q")).first()
-    shards = max(1, -(-size["n"] // SHARD_ROWS))
-    blocks = max(1, -(-size["q"] // BLOCK_QUERIES))
-    spread = F.xxhash64("vec_id", "vec")
-    deal = lambda n: F.pmod(spread, F.lit(n)).cast("int")
+    width = F.size("vec").cast("long")
+    size = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("values"),
+                    F.sum(F.when(is_query, width)).alias("asked")).first()
+    # as many shards as tasks of a shuffle, between the smallest and the largest shard
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shards = max(1, -(-(size["values"] or 0) // SHARD_VALUES), min(tasks, size["n"] // SHARD_ROWS))
+    blocks = max(1, -(-(size["asked"] or 0) // BLOCK_VALUES))
+    # rows are dealt by their place as well, so that copies of one row are spread
+    deal = lambda n, *more: F.pmod(F.xxhash64("vec_id", "vec", *more), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = queries.withColumn("block", deal(blocks)).withColumn("shard", every(shards))
-    right = rows.withColumn("shard", deal(shards)).withColumn("block", every(blocks))
+    right = (rows.withColumn("place", F.monotonically_increasing_id())
+             .withColumn("shard", deal(shards, "place")).drop("place").withColumn("block", every(blocks)))
 
     def search(query_table: pa.Table, table: pa.Table) -> pa.Table:
         out: list = [[], [], []]
