@@ -48,10 +48,10 @@ def _load(spark, args) -> None:
 
 def _dashboard(spark, args) -> None:
     from campuslens.plans import dashboard as DB
-    from campuslens.streaming.incremental import VersionedTables
+    from campuslens.streaming.incremental import StoredTables
 
-    tables = VersionedTables(spark, f"{args.state.rstrip('/')}/tables")
-    done = tables.log()
+    tables = StoredTables(spark, f"{args.state.rstrip('/')}/tables")
+    done = tables.loads()
     fact = tables.current("university", done)
     outputs = {
         "schools_by_program": DB.schools_by_program(fact, tables.current("dim_program", done)),

@@ -127,22 +127,28 @@ def refresh_ids(staged: DataFrame, dim_program: DataFrame, dim_program_type: Dat
     return with_ids(names, dim_program, dim_program_type, proven=False)
 
 
-def load(stored_fact: DataFrame, stored_program: DataFrame, stored_type: DataFrame,
-         top_df: DataFrame, persist=None, k: int = TOP_K, checked: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """One load: upsert the dimensions, then upsert the fact with their ids.
+def stage_load(stored_program: DataFrame, stored_type: DataFrame, top_df: DataFrame,
+               persist=None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Fact rows of one load with their stored ids, and the upserted dimensions.
 
     ``persist(df, name)`` stores an upserted dimension and returns it read
     back, so the fact takes its ids from the stored copy (the incremental
-    job writes its table versions this way; the default stages it).
-    ``top_df`` must hold each school once; a repeat would duplicate its fact
-    (``checked``: the job that wrote it has seen to that).
+    job writes its folders this way; the default stages it).
     """
-    if not checked:
-        assert_source_unique(top_df, "school_id")
     dp, dt = upsert_dims(stored_program, stored_type, top_df)
     persist = persist or stage
     dp, dt = persist(dp, "dim_program"), persist(dt, "dim_program_type")
-    staged = project_fact(with_ids(top_df, dp, dt, proven=False))
+    return project_fact(with_ids(top_df, dp, dt, proven=False)), dp, dt
+
+
+def load(stored_fact: DataFrame, stored_program: DataFrame, stored_type: DataFrame,
+         top_df: DataFrame, persist=None, k: int = TOP_K) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One load: upsert the dimensions, then upsert the fact with their ids.
+
+    ``top_df`` must hold each school once; a repeat would duplicate its fact.
+    """
+    assert_source_unique(top_df, "school_id")
+    staged, dp, dt = stage_load(stored_program, stored_type, top_df, persist)
     # The staged rows come from a top-k: at most k rows, a proven bound, so
     # the stored fact is filtered by a broadcast anti join, not shuffled.
     return upsert(stored_fact, staged, "school_id", source_rows_bound=k), dp, dt

@@ -4,34 +4,36 @@ A file stream over the landing root picks up only pages it has not seen
 (the stream checkpoint records them). ``trigger(availableNow=True)``
 processes what is there and stops, which matches a scheduled weekly run.
 
-State is versioned. The fact is dealt by key into buckets, and a load
-rewrites only the buckets its rows fall into
-(``<root>/university/v=<version>/bucket=<b>``), so its cost follows the
-change, not the stored total; the dimensions, bounded by their labels, are
-written whole (``<root>/<dim>/v=<version>``). A commit then appends one row
-to the log: the version, the stream's query id and batch id, and for every
-bucket the version that holds it. Readers take what the latest commit
-lists; nothing is overwritten in place.
-
-A batch replayed after a failure finds its (query id, batch id) in the log
-and is skipped. A new stream over old state, whose batch ids start at 0
-again, has another query id, so its data is loaded. A batch that failed
-before committing rewrites its own version folders. ``expire`` deletes what
-only older commits refer to.
+A load stores what it changed, not what there was: the rows of its top-k go
+to a Parquet folder of their own,
+``<root>/university/version=<n>/kind=delta/stream=<query id>/batch=<id>``,
+beside the dimensions as of this load (bounded by their labels, so written
+whole). Spark marks a finished folder with ``_SUCCESS``; the fact's folder is
+written last, so its mark is the commit, and a load is there as a whole or
+not at all. Readers take the stored base without the keys of the later
+deltas (an anti join on their few keys), and of every such key its last row.
+When the deltas have grown against the base, or are many, ``fold`` writes
+their union as a new base; nothing is overwritten in place.
+
+A batch replayed after a failure finds its (query id, batch id) among the
+finished loads and is skipped; if it is not there, it writes its own folders
+again. A new stream over old state, whose batch ids start at 0 again, has
+another query id, so its data is loaded. Loads of one state run one after
+another. ``expire`` deletes what only older reads need.
 """
 
 from __future__ import annotations
 
 import threading
+from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
+from campuslens.functions.joins import CHECKED_BOUND
 from campuslens.operators.decode import decode, flatten_record
 from campuslens.operators.rank import TOP_K
-from campuslens.operators.upsert import assert_no_repeats, latest_per_key
+from campuslens.operators.upsert import assert_no_repeats, latest_per_key, upsert
 from campuslens.plans import load as L
 from campuslens.sources.api import stream_pages
 from campuslens.sources.pages import unnest_pages
@@ -40,10 +42,9 @@ from campuslens.schemas import (API_FIELDS, DIM_PROGRAM_SCHEMA, DIM_PROGRAM_TYPE
 from campuslens.session import remove, scratch_path, stage
 
 TABLES = ("university", "dim_program", "dim_program_type")
-COMMITS = "_commits"
-COMMIT_SCHEMA = "version long, query string, batch long, layout array<struct<bucket:int,version:long>>"
-# Buckets of the fact, and commits whose files ``expire`` keeps.
-BUCKETS = 64
+# Deltas are folded into the base when they have this share of its bytes, or are so many.
+FOLD_SHARE = 0.25
+FOLD_DELTAS = 32
 KEEP = 5
 
 
@@ -54,93 +55,128 @@ def landing_schema(levels: list[str]) -> T.StructType:
     return T.StructType(fields)
 
 
-class VersionedTables:
-    """Latest committed version of each table under one root folder."""
+class Load(NamedTuple):
+    """One finished folder of the fact; a base of a version holds all rows up to it."""
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
-        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+    version: int
+    kind: str
+    stream: str
+    batch: str
+
+    @property
+    def folder(self) -> str:
+        return f"version={self.version}/kind={self.kind}/stream={self.stream}/batch={self.batch}"
+
+
+class StoredTables:
+    """The fact and its dimensions under one root folder."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
         self.schemas = {"university": STORED_FACT_SCHEMA, "dim_program": DIM_PROGRAM_SCHEMA,
                         "dim_program_type": DIM_PROGRAM_TYPE_SCHEMA}
 
-    def log(self) -> list:
-        """All commits by version: one row per load, so bounded by the number of runs."""
-        try:
-            rows = self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.root}/{COMMITS}")
-        except AnalysisException as err:
-            # Only "no commit yet" means an empty state. Any other failure
-            # must not be read as "nothing committed": the batch would then
-            # start from empty tables and commit a version that drops data.
-            if err.getCondition() == "PATH_NOT_FOUND":
-                return []
-            raise
-        return sorted(rows.collect(), key=lambda r: r.version)
+    def _path(self, path: str):
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return target, target.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def loads(self) -> list[Load]:
+        """All finished loads and folds in order: one entry a load, from one listing."""
+        pattern, fs = self._path(f"{self.root}/university/version=*/kind=*/stream=*/batch=*/_SUCCESS")
+        found = []
+        for status in fs.globStatus(pattern) or []:
+            levels = status.getPath().getParent().toString().split("/")[-4:]
+            version, kind, stream, batch = (level.split("=", 1)[1] for level in levels)
+            found.append(Load(int(version), kind, stream, batch))
+        return sorted(found, key=lambda x: (x.version, x.kind == "base", x.stream, x.batch))
 
     def committed(self) -> list[int]:
-        return [r.version for r in self.log()]
-
-    def bucket(self) -> Column:
-        return F.pmod(F.hash("school_id"), F.lit(self.buckets))
-
-    def current(self, name: str, log: list | None = None, only: set[int] | None = None) -> DataFrame:
-        """The committed table; of the fact, ``only`` the given buckets."""
-        log = self.log() if log is None else log
-        if not log:
-            paths = []
-        elif name == "university":
-            paths = [f"{self.root}/{name}/v={e.version}/bucket={e.bucket}" for e in log[-1].layout
-                     if only is None or e.bucket in only]
-        else:
-            paths = [f"{self.root}/{name}/v={log[-1].version}"]
-        if not paths:
-            return self.spark.createDataFrame([], self.schemas[name])
-        return self.spark.read.schema(self.schemas[name]).parquet(*paths)
+        return sorted({x.version for x in self.loads()})
+
+    def _read(self, name: str, loads: list[Load], more: T.StructType | None = None) -> DataFrame:
+        schema = self.schemas[name] if more is None else T.StructType([*self.schemas[name].fields, *more.fields])
+        if not loads:
+            return self.spark.createDataFrame([], schema)
+        return (self.spark.read.schema(schema).option("basePath", f"{self.root}/{name}")
+                .parquet(*[f"{self.root}/{name}/{x.folder}" for x in loads]).select(*schema.names))
+
+    def _split(self, loads: list[Load]) -> tuple[list[Load], list[Load]]:
+        """The last base and the deltas after it."""
+        base = [x for x in loads if x.kind == "base"][-1:]
+        return base, [x for x in loads if x.kind == "delta" and (not base or x.version > base[0].version)]
+
+    def current(self, name: str, loads: list[Load] | None = None) -> DataFrame:
+        """The table as of the last finished load."""
+        loads = self.loads() if loads is None else loads
+        if name != "university":
+            return self._read(name, [x._replace(kind="delta") for x in loads[-1:]])  # a fold has those of its load
+        base, deltas = self._split(loads)
+        columns = [f.name for f in self.schemas[name].fields]
+        if len(deltas) <= 1 and not base:
+            return self._read(name, deltas)
+        order = T.StructType([T.StructField("version", T.LongType()), T.StructField("stream", T.StringType())])
+        changed = latest_per_key(self._read(name, deltas, order), "school_id", ["version", "stream"]).select(*columns)
+        if not base:
+            return changed
+        bound = changed.limit(CHECKED_BOUND + 1).count() if deltas else 0
+        return upsert(self._read(name, base), changed, "school_id", source_rows_bound=bound)
 
     def register_views(self, prefix: str = "") -> list[str]:
-        """Expose the latest committed tables to SQL as temporary views.
+        """Expose the current tables to SQL as temporary views.
 
         Dashboard users can then keep writing SQL
         (``spark.sql("SELECT ... FROM university JOIN dim_program ...")``)
-        against the same versions the DataFrame functions read.
+        against the same state the DataFrame functions read.
         """
-        log = self.log()
-        names = []
+        loads = self.loads()
         for name in TABLES:
-            self.current(name, log).createOrReplaceTempView(prefix + name)
-            names.append(prefix + name)
-        return names
+            self.current(name, loads).createOrReplaceTempView(prefix + name)
+        return [prefix + name for name in TABLES]
 
-    def write(self, version: int, name: str, df: DataFrame) -> DataFrame:
-        """Write one dimension's version and return it read back."""
-        path = f"{self.root}/{name}/v={version}"
+    def write(self, load: Load, name: str, df: DataFrame) -> DataFrame:
+        """Write one table's folder of a load and return it read back."""
+        path = f"{self.root}/{name}/{load.folder}"
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(self.schemas[name]).parquet(path)
 
-    def write_buckets(self, version: int, fact: DataFrame) -> None:
-        """Write the rows of the touched buckets, one file a bucket."""
-        (fact.withColumn("bucket", self.bucket()).repartition("bucket")
-         .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/university/v={version}"))
-
-    def commit(self, version: int, query_id: str, batch_id: int, layout: dict[int, int]) -> None:
-        row = (version, query_id, batch_id, sorted(layout.items()))
-        self.spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(
-            f"{self.root}/{COMMITS}")
+    def _bytes(self, loads: list[Load]) -> int:
+        total = 0
+        for x in loads:
+            path, fs = self._path(f"{self.root}/university/{x.folder}")
+            total += fs.getContentSummary(path).getLength()
+        return total
+
+    def fold(self, force: bool = False) -> bool:
+        """Write base and deltas as a new base, if the deltas have grown; whether it did."""
+        loads = self.loads()
+        base, deltas = self._split(loads)
+        held, later = (base, deltas) if base else (deltas[:1], deltas[1:])  # a first delta is as good as a base
+        due = len(later) > FOLD_DELTAS or (bool(later) and self._bytes(later) >= FOLD_SHARE * self._bytes(held))
+        if not deltas or not (force or due):
+            return False
+        last = deltas[-1]
+        self.write(Load(last.version, "base", last.stream, last.batch), "university", self.current("university", loads))
+        return True
 
     def expire(self, keep: int = KEEP) -> int:
-        """Delete files that only commits older than the last ``keep`` refer to.
+        """Delete folders that reads as of the last ``keep`` loads do not need; return their number.
 
-        Readers of older versions must be done. Returns the folders deleted.
+        Readers of older states must be done.
         """
-        log = self.log()
-        held = {(e.bucket, e.version) for r in log[-keep:] for e in r.layout}
-        gone = {f"university/v={e.version}/bucket={e.bucket}" for r in log[:-keep] for e in r.layout
-                if (e.bucket, e.version) not in held}
-        gone |= {f"{name}/v={r.version}" for r in log[:-keep] for name in TABLES[1:]}
-        for path in gone:
-            remove(self.spark, f"{self.root}/{path}")
+        loads = self.loads()
+        versions = sorted({x.version for x in loads})
+        first = versions[-keep:][0] if versions else 0
+        base = max((x.version for x in loads if x.kind == "base" and x.version <= first), default=-1)
+        gone = [f"university/{x.folder}" for x in loads
+                if x.version < base or (x.version == base and x.kind == "delta")]
+        gone += [f"{name}/{x.folder}" for x in loads if x.kind == "delta" and x.version < first for name in TABLES[1:]]
+        for folder in gone:
+            path, fs = self._path(f"{self.root}/{folder}")
+            fs.delete(path, True)
         return len(gone)
 
 
-def process_batch(tables: VersionedTables, batch: DataFrame, batch_id: int, query_id: str,
+def process_batch(tables: StoredTables, batch: DataFrame, batch_id: int, query_id: str,
                   k: int = TOP_K, on_repeat: str = "raise") -> None:
     """Rank, cut, fill and load one batch of landed pages.
 
@@ -155,20 +191,20 @@ def process_batch(tables: VersionedTables, batch: DataFrame, batch_id: int, quer
     load_records(tables, flatten_record(unnest_pages(batch)), levels, batch_id, query_id, k, on_repeat)
 
 
-def load_records(tables: VersionedTables, records: DataFrame, levels: list[str], batch_id: int, query_id: str,
+def load_records(tables: StoredTables, records: DataFrame, levels: list[str], batch_id: int, query_id: str,
                  k: int = TOP_K, on_repeat: str = "raise") -> None:
-    """Rank, cut, fill and load raw records (partition levels, page, pos) as one commit.
+    """Rank, cut, fill and load raw records (partition levels, page, pos) as one load.
 
     Repeats are observed by the job that writes the top-k: a batch that has
-    some is given up before anything of it is committed.
+    some is given up before anything of it is stored.
     """
-    log = tables.log()
-    if any(r.query == query_id and r.batch == batch_id for r in log):
+    loads = tables.loads()
+    if any((x.stream, x.batch) == (query_id, str(batch_id)) for x in loads):
         return
-    version = log[-1].version + 1 if log else 0
+    load = Load(loads[-1].version + 1 if loads else 0, "delta", query_id, str(batch_id))
     # The top-k (at most k rows) is read by several steps: staged in the
     # shared folder, it is computed once and survives the loss of an
-    # executor. It goes when the batch is committed.
+    # executor. It goes when the batch is stored.
     scratch = scratch_path(tables.spark, "batch")
     repeats = Observation()
     latest = latest_per_key(records, "school_id", [*levels, "page", "pos"], levels, repeats)
@@ -179,16 +215,11 @@ def load_records(tables: VersionedTables, records: DataFrame, levels: list[str],
         except ValueError:
             remove(tables.spark, scratch)
             raise
-    touched = {r[0] for r in top_df.select(tables.bucket()).distinct().collect()}  # at most ``buckets`` rows
-    # Dimensions are written first; the fact then takes its ids from the
+    # Dimensions are written first; the fact rows take their ids from the
     # stored versions (the same flow as a batch load).
-    fact, _, _ = L.load(tables.current("university", log, touched),
-                        *[tables.current(t, log) for t in TABLES[1:]], top_df,
-                        persist=lambda df, name: tables.write(version, name, df), k=k, checked=True)
-    if touched:
-        tables.write_buckets(version, fact)
-    layout = {e.bucket: e.version for e in log[-1].layout} if log else {}
-    tables.commit(version, query_id, batch_id, {**layout, **dict.fromkeys(touched, version)})
+    rows, _, _ = L.stage_load(*[tables.current(t, loads) for t in TABLES[1:]], top_df,
+                              persist=lambda df, name: tables.write(load, name, df))
+    tables.write(load, "university", rows)
     remove(tables.spark, scratch)
 
 
@@ -216,25 +247,26 @@ def landed(spark: SparkSession, landing: str, levels: list[str]) -> DataFrame:
 
 
 def run_available(spark: SparkSession, landing: str, state_root: str, checkpoint: str,
-                  levels: list[str], k: int = TOP_K, on_repeat: str = "raise",
-                  buckets: int = BUCKETS) -> VersionedTables:
+                  levels: list[str], k: int = TOP_K, on_repeat: str = "raise") -> StoredTables:
     """Process every page landed since the last run, then stop."""
-    tables = VersionedTables(spark, state_root, buckets)
+    tables = StoredTables(spark, state_root)
     run_stream(landed(spark, landing, levels), checkpoint,
                lambda df, batch, query: process_batch(tables, df, batch, query, k, on_repeat))
+    tables.fold()
     return tables
 
 
 def run_live(spark: SparkSession, url: str, state_root: str, checkpoint: str, k: int = TOP_K,
-             on_repeat: str = "raise", buckets: int = BUCKETS, **options) -> VersionedTables:
+             on_repeat: str = "raise", **options) -> StoredTables:
     """Load every record that the API has added since the last run, then stop.
 
     The stream's offset is the next record of the API's sequence, so nothing
     is landed in between, no page is lost and none is read twice.
     """
-    tables = VersionedTables(spark, state_root, buckets)
+    tables = StoredTables(spark, state_root)
     run_stream(stream_pages(spark, url, **options), checkpoint,
                lambda df, batch, query: process_batch(tables, df, batch, query, k, on_repeat))
+    tables.fold()
     return tables
 
 

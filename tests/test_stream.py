@@ -7,6 +7,7 @@ from campuslens.schemas import FACT_COLUMNS
 from campuslens.session import scratch_path
 from campuslens.sources import pages as PG
 from campuslens.sources.standin import school_raw
+from campuslens.streaming import incremental as I
 from campuslens.streaming.incremental import process_batch, run_available
 
 from conftest import SF_SMALL
@@ -39,7 +40,7 @@ def test_stream_runs_equal_batch_load_and_rerun_is_noop(spark):
     # a replayed batch id is skipped
     later_pages = spark.read.schema(
         "page long, results array<struct<id:bigint>>").json(f"{landing}/run=later")
-    process_batch(tables, later_pages, 1, tables.log()[-1].query)
+    process_batch(tables, later_pages, 1, tables.loads()[-1].stream)
     assert tables.committed() == [0, 1]
     assert _keys(tables.current("university").select(*FACT_COLUMNS)) == _keys(expected)
 
@@ -114,23 +115,57 @@ def test_batch_load_refuses_a_repeated_school(spark):
         L.load(stored, dp, dt, top.union(top.limit(1)))
 
 
-def test_update_of_one_school_leaves_other_buckets_alone(spark, tmp_path):
+def _files(root):
+    return {str(p) for p in (root / "s").rglob("*.parquet")}
+
+
+def test_a_load_writes_only_what_it_changes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(I, "FOLD_SHARE", 100.0)
+    state, ckpt = str(tmp_path / "s"), str(tmp_path / "c")
+    landing = _land(tmp_path, {"1": {1: [(i, f"n{i}") for i in range(40)] + [(None, "x")]}})
+    run_available(spark, landing, state, ckpt, ["run"])
+    before = _files(tmp_path)
+    _land(tmp_path, {"2": {1: [(7, "changed"), (40, "new")]}})
+    tables = run_available(spark, landing, state, ckpt, ["run"])
+    new = [p for p in _files(tmp_path) - before if "/university/" in p]
+    assert before < _files(tmp_path) and spark.read.parquet(*new).count() == 2
+    want = [(i, "changed" if i == 7 else f"n{i}") for i in range(40)] + [(40, "new")]
+    assert _names(tables) == want and tables.current("university").count() == 42
+    # folded, the state is the same and the next load builds on it
+    assert tables.fold(force=True) and _names(tables) == want and not tables.fold()
+    assert [x.kind for x in tables.loads()] == ["delta", "delta", "base"] and tables.committed() == [0, 1]
+    _land(tmp_path, {"3": {1: [(8, "again"), (7, "back")]}})
+    tables = run_available(spark, landing, state, ckpt, ["run"])
+    want = [(i, {7: "back", 8: "again"}.get(i, n)) for i, n in want]
+    assert _names(tables) == want and tables.committed() == [0, 1, 2]
+    # expiry deletes only what the kept loads do not use
+    assert tables.expire(1) > 0 and _names(tables) == want and tables.current("dim_program").count() >= 1
+    assert [x.kind for x in tables.loads()] == ["base", "delta"]
+    assert tables.expire(1) == 0
+    # a fold alone still has its load's dimensions
+    assert tables.fold(force=True) and tables.expire(1) > 0 and _names(tables) == want
+    assert [x.kind for x in tables.loads()] == ["base"] and tables.current("dim_program").count() >= 1
+
+
+def test_growing_deltas_are_folded(spark, tmp_path):
     state, ckpt = str(tmp_path / "s"), str(tmp_path / "c")
-    landing = _land(tmp_path, {"1": {1: [(i, f"n{i}") for i in range(40)]}})
-    tables = run_available(spark, landing, state, ckpt, ["run"], buckets=8)
-    before = {e.bucket: e.version for e in tables.log()[-1].layout}
-    files = sorted(str(p) for p in (tmp_path / "s" / "university").rglob("*.parquet"))
-    _land(tmp_path, {"2": {1: [(7, "changed")]}})
-    tables = run_available(spark, landing, state, ckpt, ["run"], buckets=8)
-    after = {e.bucket: e.version for e in tables.log()[-1].layout}
-    changed = [b for b in after if after[b] != before[b]]
-    assert len(before) > 1 and len(changed) == 1
-    new = sorted(str(p) for p in (tmp_path / "s" / "university").rglob("*.parquet"))
-    assert set(files) <= set(new) and all(f"bucket={changed[0]}/" in f for f in set(new) - set(files))
-    assert _names(tables) == [(i, "changed" if i == 7 else f"n{i}") for i in range(40)]
-    # expiry deletes only what the kept commits do not use
-    assert tables.expire(1) == 3 and _names(tables)[7] == (7, "changed")
-    assert len(list((tmp_path / "s" / "university").rglob("*.parquet"))) == len(before)
+    for n in range(4):
+        landing = _land(tmp_path, {str(n): {1: [(i, f"{n}-{i}") for i in range(n, 30)]}})
+        tables = run_available(spark, landing, state, ckpt, ["run"])
+        assert _names(tables) == [(i, f"{min(i, n)}-{i}") for i in range(30)]
+    assert "base" in {x.kind for x in tables.loads()}
+
+
+def test_a_load_that_broke_off_is_not_there(spark, tmp_path):
+    state, ckpt = str(tmp_path / "s"), str(tmp_path / "c")
+    landing = _land(tmp_path, {"1": {1: [(1, "one")]}})
+    tables = run_available(spark, landing, state, ckpt, ["run"])
+    last = tables.loads()[-1]
+    broken = tmp_path / "s" / "university" / "version=1" / "kind=delta" / "stream=x" / "batch=0"
+    tables.current("university").write.parquet(str(broken))
+    (broken / "_SUCCESS").unlink()
+    (broken / "._SUCCESS.crc").unlink(missing_ok=True)
+    assert tables.loads() == [last] and _names(tables) == [(1, "one")]
 
 
 def test_run_labels_are_utc_and_unique():
