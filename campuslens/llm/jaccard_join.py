@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from campuslens.llm.components import components
-from campuslens.llm.text import LOWER, binary_rows, chunks, forget, hash_spans, mix64, shingle_hashes, word_bounds
+from campuslens.llm.text import LOWER, binary_rows, chunks, forget, hash_spans, mix64, shingle_hashes, trim, word_bounds
 from campuslens.llm.workspace import Workspace
 
 SHINGLE = 5
@@ -141,6 +141,7 @@ def _runs(docs: DataFrame, buckets: int) -> DataFrame:
                         all_sizes=n.astype(np.uint32).tobytes(), shared_owner=row[held].astype(np.uint32).tobytes(),
                         shared_token=code[held].tobytes(), distinct_owner=own.astype(np.uint32).tobytes())
                 yield pa.RecordBatch.from_pydict(out, schema=_SCHEMA)
+        trim()
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
             .mapInArrow(run, _RUN))
@@ -195,6 +196,8 @@ def _shared_of_bucket(table: pa.Table) -> pa.Table:
     owner, line = owner[back][by], line[back][by]
     bounds = np.searchsorted(line, np.arange(len(rows) + 1))
     some = np.flatnonzero(np.diff(bounds))
+    del order, back, by
+    trim()
     columns = {"run": run.take(pa.array(some)),
                "owners": binary_rows(owner, bounds).take(pa.array(some)),
                "tokens": binary_rows(token, bounds).take(pa.array(some)),
@@ -354,8 +357,8 @@ def similarity_classes(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     work = Workspace(spark, "shingles")
     stage = work.stage
-    # two buckets a partition: a worker holds one bucket's shingles at a time
-    buckets = min(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), 8192)
+    # four buckets a partition: a worker holds one bucket's shingles at a time
+    buckets = min(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 16)
     sets = stage(_runs(docs, buckets).groupBy("bucket", F.when(F.col("bucket") < 0, F.col("run")).alias("own"))
                  .applyInArrow(_shared_of_bucket, _SHARED)
                  .groupBy("run").applyInArrow(_sets_of_run, _SETS), "shingle-sets")

@@ -7,6 +7,7 @@ per-row and per-word work is numpy, not Python. White space is
 
 from __future__ import annotations
 
+import ctypes
 import weakref
 
 import numpy as np
@@ -158,11 +159,21 @@ def shingle_hashes(words: np.ndarray, row_words: np.ndarray, size: int):
 _MEMOS: weakref.WeakSet = weakref.WeakSet()
 
 
+_LIBC = ctypes.CDLL(None)
+
+
+def trim() -> None:
+    """Give freed memory back: a worker that idles after its task keeps no arrays of it."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
+
+
 def forget() -> None:
     """Empty every memo of this worker: an operator that has none makes room for its own arrays."""
     for memo in list(_MEMOS):
         memo.clear()
-    pa.default_memory_pool().release_unused()
+    trim()
 
 
 class Memo:

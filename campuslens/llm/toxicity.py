@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from campuslens.llm.text import LOWER, Memo, chunks, word_bounds
+from campuslens.llm.text import LOWER, Memo, chunks, trim, word_bounds
 from campuslens.llm.token_blocks import piece_cuts
 
 TRAIN_DOCS = 6000
@@ -174,6 +174,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(p), pa.array((p >= 0.5).astype(np.int32))],
                     [*names, "score", "predicted"])
+        trim()
 
     schema = StructType([*docs.schema.fields, StructField("score", DoubleType()), StructField("predicted", IntegerType())])
     return docs.mapInArrow(run, schema)
