@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from campuslens.llm.text import Memo, chunks, list_rows
+from campuslens.llm.text import Memo, chunks, list_rows, trim
 
 MARK = "▁"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -278,6 +278,7 @@ def _model(path: str):
         model = load(path)
         memo = Memo(lambda spans: model.segment([s.decode("utf-8").replace(" ", MARK) for s in spans]), np.int32)
         _MODELS[path] = (model, memo)
+        trim()  # what reading the file took
     return _MODELS[path]
 
 
@@ -337,6 +338,7 @@ def encode_decode(docs: DataFrame, path: str) -> DataFrame:
                     [batch.column(0).slice(lo, hi - lo), pa.array(np.diff(off)), list_rows(ids, off, pa.int32()),
                      pa.array(np.diff(chars[rows])), pa.array(same)],
                     ["doc_id", "n_tokens", "ids", "n_chars", "round_trip"])
+        trim()
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
             .mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, n_chars long, round_trip boolean"))

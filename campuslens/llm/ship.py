@@ -15,15 +15,15 @@ BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 def ship(spark) -> None:
     """Send the package's modules to the executors, once an application.
 
-    Texts are long: a batch for a Python worker is bounded by bytes (8 MB,
+    Texts are long: a batch for a Python worker is bounded by bytes (4 MB,
     unless the session says less), not only by its 10,000 rows.
 
     Spark's own file server distributes the archive; nothing is read from a
     folder of the driver.
     """
     set_ = spark.conf.get(BATCH_BYTES, str((1 << 31) - 1))
-    if not set_.rstrip("b").isdigit() or int(set_.rstrip("b")) > 8 << 20:
-        spark.conf.set(BATCH_BYTES, str(8 << 20))
+    if not set_.rstrip("b").isdigit() or int(set_.rstrip("b")) > 4 << 20:
+        spark.conf.set(BATCH_BYTES, str(4 << 20))
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return
