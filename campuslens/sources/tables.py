@@ -103,7 +103,7 @@ def marked_repeats(df: DataFrame, keys: list[str], flag: str) -> DataFrame:
     return df.withColumn(flag, before.isNotNull() & ~null)
 
 
-def write_checked(df: DataFrame, path: str, *unique: list[str]) -> int:
+def write_checked(df: DataFrame, path: str, *unique: list[str], mode: str = "errorifexists") -> int:
     """Write ``df`` to ``path`` in one pass that also checks its keys; return the rows written.
 
     ``unique`` are the key columns that must not repeat (the key of a fact;
@@ -116,7 +116,7 @@ def write_checked(df: DataFrame, path: str, *unique: list[str]) -> int:
     for keys, flag in zip(unique, flags):
         rows = marked_repeats(rows, list(keys), flag)
     counts = [F.count_if(flag).alias(flag) for flag in flags]
-    rows.observe(seen, F.count(F.lit(1)).alias("rows"), *counts).drop(*flags).write.parquet(path)
+    rows.observe(seen, F.count(F.lit(1)).alias("rows"), *counts).drop(*flags).write.mode(mode).parquet(path)
     found = seen.get
     repeated = {", ".join(keys): found[flag] for keys, flag in zip(unique, flags) if found[flag]}
     if repeated:

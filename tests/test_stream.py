@@ -168,6 +168,19 @@ def test_a_load_that_broke_off_is_not_there(spark, tmp_path):
     assert tables.loads() == [last] and _names(tables) == [(1, "one")]
 
 
+def test_a_dimension_with_repeats_ends_the_load(spark, tmp_path):
+    from campuslens.sources.tables import RepeatedKey
+
+    tables = I.StoredTables(spark, str(tmp_path / "s"))
+    load = I.Load(0, "delta", "q", "0")
+    good = spark.createDataFrame([(1, "a"), (2, "b")], tables.schemas["dim_program"])
+    assert tables.write(load, "dim_program", good).count() == 2
+    for bad in ([(1, "a"), (2, "a")], [(1, "a"), (1, "b")]):
+        with pytest.raises(RepeatedKey):
+            tables.write(load, "dim_program", spark.createDataFrame(bad, tables.schemas["dim_program"]))
+        assert not (tmp_path / "s" / "dim_program" / load.folder).exists()
+
+
 def test_run_labels_are_utc_and_unique():
     import time
 
