@@ -57,7 +57,7 @@ CALIBRATE = 256
 #: Components of a shard of rows and of a block of queries; rows of the smallest shard; pairs scored at once.
 SHARD_VALUES = 1 << 20
 BLOCK_VALUES = 1 << 18
-SHARD_ROWS = 1024
+SHARD_ROWS = 16_384
 PAIRS = 1 << 22
 
 
