@@ -240,6 +240,7 @@ def run_stream(stream: DataFrame, checkpoint: str, load) -> None:
         load(df, batch_id, stream_id[0])
 
     query = (stream.writeStream.foreachBatch(each)
+             .outputMode("update")  # without an aggregate the same as append
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
              .start())
